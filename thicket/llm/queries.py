@@ -10,6 +10,7 @@ from .common import table
 from .decontaminate import scan
 from .jaccard_join import jaccard_components
 from .line_dedup import line_dedup
+from .quality_crf import score, train
 from .sharding import shard
 from .sp_tokenizer import encode, model_for
 from .substring_dedup import substring_dedup
@@ -19,6 +20,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
