@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import scan
+from .html_text import extract
 from .jaccard_join import jaccard_components
+from .language_id import language_id
 from .line_dedup import line_dedup
 from .quality_crf import score, train
 from .sharding import shard
@@ -25,6 +27,10 @@ def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -41,6 +47,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), model_for(spark))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
