@@ -43,3 +43,15 @@ def components(edges: DataFrame) -> DataFrame:
             break
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def deal(sized: DataFrame, block: int) -> DataFrame:
+    """(node, family, size) -> (node, family, lo, hi, own), saved: the tasks (family, lo, hi) that compare the members of a family.
+
+    A family of total size up to `block` is one task. A larger one is cut by hash into blocks of about that size; each pair of blocks, and
+    each block with itself, is a task, so any two members meet once, and no task holds more than two blocks. own: the member's block.
+    """
+    blocks = sized.groupBy("family").agg(F.ceil(F.sum("size") / F.lit(block)).cast("int").alias("blocks"))
+    dealt = sized.select("node", "family").join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return save(dealt.select("node", "family", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own"))

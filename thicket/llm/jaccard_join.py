@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, mix, save, window_hashes, word_hashes
-from .graph import components
+from .graph import components, deal
 
 #: The weight of a binary probe against a merge step in DivideSkip; the ratio of a band's largest to its smallest size.
 MU, BAND = 0.0085, 1.5
@@ -159,13 +159,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     families = families.withColumnRenamed("component", "family")
 
     sized = families.join(firsts.join(base.select("digest", "n_shingles", F.col("doc_id").alias("node")), ["digest", "node"]).groupBy("node").agg(F.max("n_shingles").alias("n")), "node")
-    blocks = sized.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("blocks"))
-    dealt = save(families.join(blocks, "family").select("node", "family", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")))
-
-    texts = docs.join(dealt, docs.doc_id == dealt.node).select("node", "family", "blocks", "block", "text")
-    texts = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = texts.select("family", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "text")
-    together = keyed.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "block", "node")
+    dealt = deal(sized.withColumnRenamed("n", "size"), block_shingles)
+    keyed = docs.join(dealt, docs.doc_id == dealt.node).select("family", "lo", "hi", "own", "node", "text")
+    together = keyed.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "own", "node")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, sets, inside = None, [], [], []

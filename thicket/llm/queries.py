@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import scan
 from .html_text import extract
+from .image_copies import image_copies, pictures
 from .jaccard_join import jaccard_components
 from .language_id import language_id
 from .line_dedup import line_dedup
@@ -31,6 +32,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
 
 
+def op4_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no images: each vector of `embeddings` is drawn as one, so that near vectors make edited copies."""
+    return image_copies(pictures(table(spark, sf_dir, "embeddings")))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
