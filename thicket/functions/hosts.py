@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from .text import is_ascii, let, trim
+from .text import is_ascii, let, shared, trim
 
 LABEL, TOP = r"[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?", r"[a-z](?:[a-z0-9-]{0,61}[a-z0-9])?"
 
@@ -34,9 +34,21 @@ def bare(raw: Column) -> Column:
     return F.regexp_replace(s, r"\.\z", "")
 
 
+@shared
+def _strict(raw: Column) -> Column:
+    return let(bare(raw), lambda host: F.when(validate(host), host))
+
+
+@shared
+def _loose(raw: Column) -> Column:
+    return let(bare(raw), lambda host: F.when(validate(host, True), host))
+
+
 def normalize(raw: Column, allow_tld: Column | bool = False) -> Column:
     """The canonical host of an entry, null where it has none. Non-ASCII hosts are null here; `to_ascii` goes first where they may occur."""
-    return let(bare(raw), lambda host: F.when(validate(host, allow_tld), host))
+    if isinstance(allow_tld, bool):
+        return _loose(raw) if allow_tld else _strict(raw)
+    return F.when(allow_tld, _loose(raw)).otherwise(_strict(raw))
 
 
 def reverse_labels(host: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import let, trim
+from .text import let, shared, trim
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
@@ -73,17 +73,19 @@ def _edge(address: Column, bits: Column, width: Column, fill: int) -> Column:
     return F.when(bits == 4 * width, address).otherwise(F.concat(F.substr(address, F.lit(1), whole), mixed, F.repeat(F.lit("f" if fill else "0"), width - 1 - whole)))
 
 
-def block(fam: Column, bits: Column, address: Column) -> Column:
-    """The struct of the block of `bits` bits around an address in hex."""
+@shared
+def _block(x: Column) -> Column:
+    width = F.when(x["fam"] == 4, 8).otherwise(32)
+    edge = lambda fill: _edge(x["at"], x["bits"], width, fill)
+    return F.when(x["bits"].isNotNull() & x["at"].isNotNull(), F.struct(x["fam"].alias("fam"), x["bits"].alias("bits"), edge(0).alias("first"), edge(1).alias("last")))
 
-    def made(x: Column) -> Column:
-        width = F.when(x["fam"] == 4, 8).otherwise(32)
-        edge = lambda fill: _edge(x["at"], x["bits"], width, fill)
-        return F.when(x["bits"].isNotNull() & x["at"].isNotNull(), F.struct(x["fam"].alias("fam"), x["bits"].alias("bits"), edge(0).alias("first"), edge(1).alias("last")))
 
-    return let(F.struct(fam.cast("int").alias("fam"), bits.cast("int").alias("bits"), address.alias("at")), made)
+def block(fam: Column, bits: Column, address: Column) -> Column:
+    """The struct of the block of `bits` bits around an address in hex."""
+    return _block(F.struct(fam.cast("int").alias("fam"), bits.cast("int").alias("bits"), address.alias("at")))
 
 
+@shared
 def parse(s: Column) -> Column:
     """The block of an entry, masked; an address is a block of its own. IPv4-mapped IPv6 becomes IPv4. Null for anything else."""
 
@@ -118,11 +120,13 @@ def address_text(fam: Column, first: Column) -> Column:
     return F.when(fam == 4, v4).otherwise(let(F.concat(F.lit(":"), _groups(first), F.lit(":")), short))
 
 
+@shared
 def cidr(b: Column) -> Column:
     """Address and length."""
     return let(b, lambda x: F.concat(address_text(x["fam"], x["first"]), F.lit("/"), x["bits"].cast("string")))
 
 
+@shared
 def text(b: Column) -> Column:
     """A block of one address as that address, others as address and length."""
 
@@ -138,6 +142,7 @@ def widened(b: Column, bits: Column) -> Column:
     return _edge(b["first"], bits, F.when(b["fam"] == 4, 8).otherwise(32), 0)
 
 
+@shared
 def after(last: Column) -> Column:
     """The address that follows, in hex; 'g' after the last one."""
 
@@ -165,6 +170,12 @@ def cover(fam: Column, first: Column, following: Column) -> Column:
     block at its lowest one and at every zero above that; the end gives a block at every one. If the start has no ones below d it is
     one block of its own.
     """
+    return _cover(F.struct(fam.alias("fam"), first.alias("first"), following.alias("following")))
+
+
+@shared
+def _cover(span: Column) -> Column:
+    fam, first, following = span["fam"], span["first"], span["following"]
 
     def of(width: int) -> Column:
         n = width * 4

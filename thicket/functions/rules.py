@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import hosts, prefixes
-from .text import let, trim
+from .text import let, shared, trim
 
 #: The rule types, those whose value is a host or a block, and the order of groups (others come last, together).
 KNOWN_TYPES = (
@@ -43,6 +43,7 @@ def _rule(kind: Column, value: Column, options: Column, scalar: bool, raw: Colum
     return F.struct(kind.alias("type"), value.alias("value"), options.alias("options"), F.lit(scalar).alias("scalar"), raw.alias("raw"))
 
 
+@shared
 def parse(item: Column) -> Column:
     """The rule of an entry. Typed: it begins like a type name and holds a comma or is a type's name; the type must be known, its value there (but
     for MATCH) and, for hosts and blocks, well formed. Else a scalar: an address, a block or a host."""
@@ -74,6 +75,7 @@ def is_block(rule: Column) -> Column:
     return F.coalesce(rule["type"].isin("IP-CIDR", "IP-CIDR6"), F.lit(False))
 
 
+@shared
 def text(rule: Column) -> Column:
     """A scalar's value; else type, value (where there is one) and options, comma-joined."""
 
@@ -88,6 +90,7 @@ def key(rule: Column) -> Column:
     return F.concat(rule["type"], F.lit(","), rule["value"])
 
 
+@shared
 def canonical(rule: Column) -> Column:
     """Scalars typed, hosts and blocks in normal form, IP-CIDR6 as IP-CIDR. Null where a scalar host has a single label."""
 
@@ -115,6 +118,7 @@ def canonical(rule: Column) -> Column:
     return let(rule, lambda r: F.when(r["scalar"], lone(r["value"])).otherwise(typed(r)))
 
 
+@shared
 def rank(kind: Column) -> Column:
     out = F.lit(OTHER_RANK)
     for name, n in TYPE_RANK.items():
@@ -122,6 +126,7 @@ def rank(kind: Column) -> Column:
     return out
 
 
+@shared
 def quote_yaml(item: Column) -> Column:
     """A list element in YAML: typed rules (upper case alone) and single-quoted text as they are, the rest single-quoted."""
     s = trim(item)
@@ -132,36 +137,42 @@ def quote_yaml(item: Column) -> Column:
 # -- entries of any kind ---------------------------------------------------------------------------------------------------------
 
 
+@shared
+def _canonical_of(value: Column) -> Column:
+    return canonical(parse(value))
+
+
 def of_item(kind: Column, value: Column, allow_tld: Column | bool = False) -> Column:
     """The canonical rule of an entry: hosts as DOMAIN-SUFFIX, blocks as IP-CIDR with no-resolve, rules as they are."""
     none, direct = F.array().cast(_NO_OPTIONS), F.array(F.lit("no-resolve"))
     from_host = let(hosts.normalize(value, allow_tld), lambda h: F.when(h.isNotNull(), _rule(F.lit("DOMAIN-SUFFIX"), h, none, False, F.concat(F.lit("DOMAIN-SUFFIX,"), h))))
     from_block = let(prefixes.cidr(prefixes.parse(value)), lambda b: F.when(b.isNotNull(), _rule(F.lit("IP-CIDR"), b, direct, False, F.concat(F.lit("IP-CIDR,"), b, F.lit(",no-resolve")))))
-    return F.when(kind == "domain", from_host).when(kind == "ip", from_block).when(kind == "rule", canonical(parse(value)))
+    return F.when(kind == "domain", from_host).when(kind == "ip", from_block).when(kind == "rule", _canonical_of(value))
 
 
 def host_of_item(kind: Column, value: Column, allow_tld: Column | bool = False) -> Column:
     """The host of a host entry, or of a DOMAIN or DOMAIN-SUFFIX rule; blocks have none."""
     allowed = allow_tld if isinstance(allow_tld, Column) else F.lit(allow_tld)
-    from_rule = let(canonical(parse(value)), lambda r: F.when(is_host(r) & (allowed | r["value"].contains(".")), r["value"]))
+    from_rule = let(_canonical_of(value), lambda r: F.when(is_host(r) & (allowed | r["value"].contains(".")), r["value"]))
     return F.when(kind == "domain", hosts.normalize(value, allow_tld)).when(kind == "rule", from_rule)
 
 
 def block_of_item(kind: Column, value: Column) -> Column:
     """The block of a block entry or of an IP-CIDR rule; hosts have none, even if they look like addresses."""
-    from_rule = let(canonical(parse(value)), lambda r: F.when(is_block(r), r["value"]))
+    from_rule = let(_canonical_of(value), lambda r: F.when(is_block(r), r["value"]))
     return prefixes.parse(F.when(kind == "ip", value).when(kind == "rule", from_rule))
 
 
 def pattern_of_item(kind: Column, value: Column) -> Column:
     """The exclude pattern of an entry, null where it gives none."""
-    from_rule = let(canonical(parse(value)), lambda r: F.when(is_host(r) | is_block(r), r["value"]))
+    from_rule = let(_canonical_of(value), lambda r: F.when(is_host(r) | is_block(r), r["value"]))
     return F.when(kind == "domain", hosts.normalize(value, True)).when(kind == "ip", prefixes.cidr(prefixes.parse(value))).when(kind == "rule", from_rule)
 
 
 # -- rules as entries of single-purpose lists ------------------------------------------------------------------------------------
 
 
+@shared
 def valid_pattern(p: Column) -> Column:
     """Whether a host pattern is well formed: '*' and '+' are whole labels, '+' only the first of several; only the first label may be empty."""
 
@@ -173,6 +184,7 @@ def valid_pattern(p: Column) -> Column:
     return (p != "") & ~p.endswith(".") & let(F.split(p, r"\.", -1), of)
 
 
+@shared
 def host_pattern(line: Column) -> Column:
     """A rule's line as a host pattern, null where it cannot be one."""
 
@@ -183,6 +195,7 @@ def host_pattern(line: Column) -> Column:
     return let(let(parse(line), of), lambda p: F.when(valid_pattern(p), p))
 
 
+@shared
 def block_text(line: Column) -> Column:
     """A rule's line as address and length, null where it is no block."""
     return prefixes.cidr(prefixes.parse(let(parse(line), lambda r: F.when(r["scalar"] | is_block(r), r["value"]))))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def shared(body: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """`body`, whose value is computed once and whose expression is built once a session: building a large one costs thousands of calls to the JVM."""
+    made: dict = {}
+
+    @wraps(body)
+    def call(value: Column) -> Column:
+        context = SparkContext._active_spark_context
+        try:
+            from pyspark.sql.classic.column import _to_seq
+            from pyspark.sql.functions.builtin import _create_lambda
+
+            if made.get("context") is not context:
+                made.update(context=context, function=_create_lambda(body))
+            applied = Column(context._jvm.PythonSQLUtils.fn("transform", _to_seq(context, [F.array(value)._jc, made["function"]])))
+        except (ImportError, AttributeError):  # another client than the classic one
+            return let(value, body)
+        return F.get(applied, F.lit(0))
+
+    return call
+
+
 def trim(s: Column) -> Column:
     """Outer Unicode white space off."""
     return F.regexp_replace(s, r"(?U)\A\s+|\s+\z", "")

@@ -35,22 +35,36 @@ def check_regex(spark: SparkSession, pattern: str, shown: str) -> str:
 
 @dataclass
 class Excludes:
-    """Compiled patterns: few, written by hand, unless they come from lists; those stay tables (suffixes, ranges)."""
+    """Compiled patterns: a few that are written by hand go into predicates; those of lists, and many, stay tables (suffixes, ranges)."""
+
+    #: Hand-written patterns of a kind that go into one predicate.
+    FEW = 500
 
     regexes: list[str] = field(default_factory=list)
     exact: list[str] = field(default_factory=list)
     rules: list[str] = field(default_factory=list)
+    below: list[str] = field(default_factory=list)
+    within: list[tuple] = field(default_factory=list)  # (fam, bits, first, last)
     suffixes: DataFrame | None = None  # (pattern)
     ranges: DataFrame | None = None  # fam, bits, first, last
 
     def hosts(self, rows: DataFrame, host: str = "host") -> DataFrame:
         if self.exact:
             rows = rows.where(~F.col(host).isin(self.exact))
+        if self.below:
+            rows = rows.where(~hosts.below_any(F.col(host), self.below))
         if self.suffixes is not None:
             rows = hosts.exclude_suffix(rows, self.suffixes, host)
         return hosts.exclude_regex(rows, self.regexes, host)
 
+    def _within(self, b: Column) -> Column:
+        """Whether a block is inside one of `within`."""
+        held = F.array(*[F.struct(F.lit(f).alias("fam"), F.lit(first).alias("first"), F.lit(last).alias("last")) for f, _, first, last in self.within])
+        return F.exists(held, lambda x: (x["fam"] == b["fam"]) & (x["first"] <= b["first"]) & (x["last"] >= b["last"]))
+
     def blocks(self, rows: DataFrame) -> DataFrame:
+        if self.within:
+            rows = rows.where(~self._within(F.struct(*blocks.KEYS)))
         if self.ranges is not None:
             rows = blocks.exclude(rows, self.ranges)
         for r in self.regexes:
@@ -67,6 +81,10 @@ class Excludes:
             rows = rows.where(~F.coalesce(R.text(r).rlike(x) | (R.is_host(r) & r["value"].rlike(x)) | (R.is_block(r) & P.text(P.parse(r["value"])).rlike(x)), F.lit(False)))
         if self.exact:
             rows = rows.where(~F.coalesce(R.is_host(r) & r["value"].isin(self.exact), F.lit(False)))
+        if self.below:
+            rows = rows.where(~F.coalesce(R.is_host(r) & hosts.below_any(r["value"], self.below), F.lit(False)))
+        if self.within:
+            rows = rows.where(~F.coalesce(self._within(P.parse(F.when(R.is_block(r), r["value"]))), F.lit(False)))
         if self.suffixes is not None:
             named = rows.withColumn("_host", F.when(R.is_host(r), r["value"]))
             rows = hosts.exclude_suffix(named, self.suffixes, "_host").select(*columns)
@@ -114,9 +132,13 @@ def compile_patterns(spark: SparkSession, patterns: list[str], listed: DataFrame
                 out.exact.append(r.host)
             else:
                 suffixes.append((r.host,))
-    if suffixes:
+    if len(suffixes) <= Excludes.FEW:
+        out.below = [x for (x,) in suffixes]
+    else:
         out.suffixes = spark.createDataFrame(suffixes, "pattern string")
-    if ranges:
+    if len(ranges) <= Excludes.FEW:
+        out.within = ranges
+    else:
         out.ranges = spark.createDataFrame(ranges, "fam int, bits int, first string, last string")
     if listed is not None:
         told = listed.select("pattern", P.parse(F.col("pattern")).alias("b"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hosts as H
@@ -32,8 +32,18 @@ def collapse(rows: DataFrame, host: str = "host") -> DataFrame:
 
 
 def exclude_suffix(rows: DataFrame, patterns: DataFrame, host: str = "host", pattern: str = "pattern") -> DataFrame:
-    """Without hosts that are, or are below, a pattern; patterns of one label count."""
-    return rows.join(under(rows, patterns, host, pattern, own=True, least_labels=1), host, "left_anti").select(*rows.columns)
+    """Without hosts that are, or are below, a pattern; patterns of one label count. Rows with a null host stay; equal rows come out once.
+
+    Rows ask for each of their suffixes and are put together again, so their plan runs once, not once for each side of an anti-join.
+    """
+    asked = rows.select("*", F.explode_outer(H.ancestors(F.col(host), 1, own=True)).alias("_a"))
+    known = patterns.select(F.col(pattern).alias("_a")).distinct().withColumn("_hit", F.lit(1))
+    return asked.join(known, "_a", "left").groupBy(*rows.columns).agg(F.max("_hit").alias("_hit")).where("_hit is null").drop("_hit")
+
+
+def below_any(host: Column, patterns: list[str]) -> Column:
+    """Whether a host is, or is below, one of a few patterns."""
+    return F.exists(H.ancestors(host, 1, own=True), lambda a: a.isin(patterns))
 
 
 def exclude_exact(rows: DataFrame, patterns: DataFrame, host: str = "host", pattern: str = "pattern") -> DataFrame:

@@ -30,23 +30,27 @@ def _tail(fields: Column) -> Column:
     return F.filter(F.slice(fields, 2, F.greatest(F.size(fields), F.lit(1))), lambda h: ~T.is_local_name(h))
 
 
+@T.shared
 def domain(line: Column) -> Column:
     s = T.strip_comment(line)
     return _if(s != "", F.array(T.first_field(s)))
 
 
+@T.shared
 def hosts(line: Column) -> Column:
     """Address, then hosts."""
     f = T.fields(T.strip_comment(line))
     return _if((F.size(f) >= 2) & is_address(F.get(f, F.lit(0))), _tail(f))
 
 
+@T.shared
 def v2ray(line: Column) -> Column:
     """full:, domain: or bare hosts, attributes after."""
     s = T.first_field(T.strip_comment(line))
     return _if((s != "") & ~s.rlike(r"\A(regexp|keyword|include):"), F.array(F.regexp_replace(s, r"\A(full|domain):", "")))
 
 
+@T.shared
 def dnsmasq(line: Column) -> Column:
     """directive=/host/host/target."""
     s = T.strip_comment(line)
@@ -59,6 +63,7 @@ def dnsmasq(line: Column) -> Column:
 SMARTDNS = ("address", "nameserver", "domain-rules", "ipset", "nftset", "cname", "https-record", "srv-record", "ddns")
 
 
+@T.shared
 def smartdns(line: Column) -> Column:
     """directive /host/..., or a host alone."""
     f = T.fields(T.strip_comment(line))
@@ -72,6 +77,7 @@ def smartdns(line: Column) -> Column:
 SKIPPED_MODIFIERS = ("dnsrewrite", "denyallow", "badfilter", "ctag", "client")
 
 
+@T.shared
 def adblock(line: Column) -> Column:
     """||host^ with modifiers, lines of hosts files, or hosts alone."""
     out = line.rlike(r"\A(?:[!#\[/]|@@)") | line.rlike(r"##|#@#|#\?#|#\$#|\$\$|://")
@@ -90,6 +96,7 @@ def adblock(line: Column) -> Column:
     )
 
 
+@T.shared
 def autoproxy(line: Column) -> Column:
     """||host, |scheme://host/, .host or bare hosts."""
     s = F.when(line.startswith("||"), F.substr(line, F.lit(3))).when(line.startswith("|"), F.regexp_extract(line, r"(?s)\A\|.*?://(.*)\z", 1)).otherwise(line)
@@ -153,6 +160,7 @@ SAMPLE = 64
 PRIORITY = ("clash", "adblock", "autoproxy", "dnsmasq", "smartdns", "hosts", "v2ray", "iplist")
 
 
+@T.shared
 def classify(line: Column) -> Column:
     """The format whose syntax a line shows, '' for none."""
     f = T.fields(T.strip_comment(line))
