@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import save
+
+#: Measured size up to which the boilerplate lists are broadcast.
+BROADCAST_BYTES = 32 << 20
+
 
 def _norm(line: Column) -> Column:
     """What lines are compared by: outer ASCII white space off, lower case."""
@@ -20,8 +25,9 @@ def line_dedup(docs: DataFrame, host: str = "source", text_col: str = "text", ma
     like the two new ones are replaced.
 
     Scale: texts never move for the count; pages emit distinct 64-bit line digests, summed before the shuffle by
-    (host, digest). A page of k lines on average lets at most k / max_ratio lines of a host be boilerplate, so a host's list is short and the final join carries one list a host; Spark
-    broadcasts it only where its measured size allows, else joins by host and splits hot hosts.
+    (host, digest). A page of k lines on average lets at most k / max_ratio lines of a host be boilerplate, so a host's list is short. The
+    lists are written, and broadcast if their measured size is at most BROADCAST_BYTES, so that texts stay where they are; else
+    rows meet them by host, hot hosts split by Spark.
     """
     key = F.coalesce(F.concat(F.lit("h"), F.col(host).cast("string")), F.lit("n"))
     lines = F.split(F.col(text_col), "\n", -1)
@@ -33,7 +39,10 @@ def line_dedup(docs: DataFrame, host: str = "source", text_col: str = "text", ma
     # The lists are bounded by the host, see above; partial lists are merged map-side.
     boiler = counts.join(totals, "_host").where(F.col("_n") > F.lit(float(max_ratio)) * F.col("_pages")).groupBy("_host").agg(F.collect_set("_line").alias("_boiler"))
     kept_columns = [c for c in docs.columns if c not in ("lines_kept", "lines_dropped")]
-    joined = docs.select(*kept_columns, key.alias("_host")).join(boiler, "_host", "left")
+    boiler = save(boiler)
+    held = boiler.agg(F.sum(F.size("_boiler") + 8)).first()[0] or 0  # 8 bytes a digest, and a host's name
+    lists = F.broadcast(boiler) if 8 * held <= BROADCAST_BYTES else boiler
+    joined = docs.select(*kept_columns, key.alias("_host")).join(lists, "_host", "left")
     kept = F.when(F.col("_boiler").isNull(), lines).otherwise(F.filter(lines, lambda x: (_norm(x) == "") | ~F.array_contains(F.col("_boiler"), digest(x))))
     out = joined.withColumn("_kept", kept).withColumn("lines_kept", F.coalesce(F.size("_kept"), F.lit(0)).cast("bigint"))
     out = out.withColumn("lines_kept", F.when(F.col(text_col).isNull(), F.lit(0).cast("bigint")).otherwise(F.col("lines_kept")))
