@@ -22,7 +22,7 @@ from .common import map_rows, mix, save
 from .graph import components, deal
 
 #: Production parameters: longest side looked at, scales, corners a scale, radius of a patch, tables of 64 bits.
-SIDE, SCALES, CORNERS, RADIUS, TABLES = 256, (1.0, 0.75, 0.5), (20, 14, 10), 8, 4
+SIDE, SCALES, CORNERS, RADIUS, TABLES = 256, (1.0, 0.75, 0.5), (14, 10, 8), 8, 4
 #: Most differing bits of a match, least matches that agree, their tolerance in pixels of the scale.
 MOST_BITS, LEAST_INLIERS, TOLERANCE = 40, 8, 2.5
 _TURNS = 32
@@ -187,6 +187,8 @@ def describe(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def codes(bits: np.ndarray) -> np.ndarray:
     """Distinct 64-bit signatures: one a descriptor and table."""
+    if not len(bits):
+        return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
         return np.unique(mix(mix(bits) + np.arange(1, TABLES + 1, dtype=np.uint64)))
 
@@ -260,22 +262,30 @@ def image_copies(images: DataFrame, id_col: str = "image_id", image_col: str = "
         def one(image_id, data):
             pixels = decode(data)
             if pixels is None or image_id is None:
-                yield image_id, None, 0, None, None, None
+                yield image_id, None, 0, None, None
                 return
             bits, at = describe(pixels)
             digest = hashlib.md5(repr(pixels.shape).encode() + np.rint(pixels).astype(np.uint8).tobytes()).digest()
-            yield image_id, digest, len(bits), codes(bits).view(np.int64) if len(bits) else [], bits.tobytes(), at.tobytes()
+            yield image_id, digest, len(bits), bits.tobytes(), at.astype(np.float32).tobytes()
 
         return one
 
-    base = save(map_rows(images.select(F.col(id_col).cast("bigint").alias("image_id"), F.col(image_col).alias("image")), make, "image_id bigint, digest binary, n_keypoints int, codes array<bigint>, bits binary, places binary"))
+    base = save(map_rows(images.select(F.col(id_col).cast("bigint").alias("image_id"), F.col(image_col).alias("image")), make, "image_id bigint, digest binary, n_keypoints int, bits binary, places binary"))
     firsts = save(base.where("digest is not null").groupBy("digest").agg(F.min("image_id").alias("node")))
-    nodes = base.join(firsts, (base.digest == firsts.digest) & (base.image_id == firsts.node), "left_semi").dropDuplicates(["image_id", "digest"])
-    sent = nodes.select("image_id", F.explode("codes").alias("code"))
+    nodes = base.join(firsts, (base.digest == firsts.digest) & (base.image_id == firsts.node), "left_semi")
+
+    def signed():
+        def one(node, bits):
+            for code in codes(np.frombuffer(bits, np.uint64).reshape(-1, 4)).view(np.int64).tolist():
+                yield node, code
+
+        return one
+
+    sent = save(map_rows(nodes.select("image_id", "bits"), signed, "image_id bigint, code bigint"))
     hubs = sent.groupBy("code").agg(F.min("image_id").alias("hub"), F.max("image_id").alias("last")).where("hub < last").select("code", "hub")
     families = components(sent.join(hubs, "code").where("image_id > hub").select(F.col("image_id").alias("a"), F.col("hub").alias("b")).distinct())
     dealt = deal(families.select("node", F.col("component").alias("family"), F.lit(1).alias("size")), block_images)
-    keyed = nodes.join(dealt, nodes.image_id == dealt.node).select("family", "lo", "hi", "own", "node", "bits", "places")
+    keyed = nodes.join(dealt, nodes.image_id == dealt.node).dropDuplicates(["node", "family", "lo", "hi"]).select("family", "lo", "hi", "own", "node", "bits", "places")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -291,7 +301,7 @@ def image_copies(images: DataFrame, id_col: str = "image_id", image_col: str = "
                     if held:
                         yield found()
                     key, held = (family, lo, hi), []
-                held.append((own, node, np.frombuffer(bits, np.uint64).reshape(-1, 4), np.frombuffer(places).reshape(-1, 4)))
+                held.append((own, node, np.frombuffer(bits, np.uint64).reshape(-1, 4), np.frombuffer(places, np.float32).reshape(-1, 4).astype(np.float64)))
         if held:
             yield found()
 
