@@ -5,9 +5,10 @@
 2. Routing. Two sets at Jaccard >= t differ in at most (1-t)/(1+t) * (|x|+|y|) shingles. Dealing the shingle space into one part
    more than that leaves at least one part on which they agree exactly, so each set emits one signature a
    part; sets that share a signature, directly or through others, form a family. No linked pair is lost.
+   Families are then cut anew by prefix filter, under which common passages join nothing.
 3. Search. Families are dealt to tasks with their shingles and searched by DivideSkip (Li, Lu, Lu 2008): the longest inverted
    lists are set aside, the short ones merged, and only sets that reach the remaining count
-   are probed in the long lists. A family above `block_shingles` is dealt as pairs of blocks, which bounds a task's
+   are probed in the long lists. A family still above `block_shingles` is dealt as pairs of blocks, which bounds a task's
    memory and leaves no pair out.
 4. A pair already in one component is not probed again; the found links span every component.
 """
@@ -21,14 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_rows, mix, save, window_hashes, word_hashes
 from .graph import components, deal
 
 #: The weight of a binary probe against a merge step in DivideSkip; the ratio of a band's largest to its smallest size.
-MU, BAND = 0.0085, 1.5
+MU, BAND = 0.0085, 1.12
 
 
 def shingles(text: str | None, n: int = 3) -> np.ndarray:
@@ -130,6 +131,34 @@ def divide_skip(sets: list[np.ndarray], percent: int, split: int | None = None)
     return links
 
 
+def _by_prefix(texts: DataFrame, percent: int, n: int) -> DataFrame:
+    """(node, text) -> (node, component): families by prefix filter, of the sets that share a signature with another.
+
+    With all shingles in one order, rarest first, two linked sets share one of their first |x| - ceil(t * |x|) + 1. What many texts
+    hold, a common passage say, comes last in that order and joins nothing. Shingles of one set alone come first and are only counted.
+    """
+
+    def make():
+        def one(node, text):
+            yield node, shingles(text, n).view(np.int64)
+
+        return one
+
+    sets = map_rows(texts.select("node", "text"), make, "node bigint, found array<bigint>")
+    rows = sets.select("node", F.size("found").alias("n"), F.explode("found").alias("shingle"))
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    common = save(rows.join(shared, "shingle"))
+    held = common.groupBy(F.col("node").alias("set")).agg(F.max("n").alias("n"), F.count("*").alias("shared"))
+    # Of the first shingles, those that other sets have too.
+    first = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1 - (F.col("n") - F.col("shared"))
+    open_sets = held.select("set", first.alias("take")).where("take > 0")
+    order = Window.partitionBy("node").orderBy("df", "shingle")  # a set's own shingles: bounded by its text
+    prefix = common.join(open_sets, F.col("node") == F.col("set")).withColumn("at", F.row_number().over(order)).where("at <= take").select("node", "shingle")
+    prefix = save(prefix)
+    hubs = prefix.groupBy("shingle").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("shingle", "hub")
+    return components(prefix.join(hubs, "shingle").where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, n: int = 3, block_shingles: int = 2_000_000) -> DataFrame:
     """docs -> (doc_id, n_shingles, component_id), one row per row of `docs`; other columns are not read.
 
@@ -157,10 +186,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = sent.groupBy("sig").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
     families = components(sent.join(shared.select("sig", "hub"), "sig").where("doc_id > hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct())
     families = families.withColumnRenamed("component", "family")
-
-    sized = families.join(firsts.join(base.select("digest", "n_shingles", F.col("doc_id").alias("node")), ["digest", "node"]).groupBy("node").agg(F.max("n_shingles").alias("n")), "node")
-    dealt = deal(sized.withColumnRenamed("n", "size"), block_shingles)
-    keyed = docs.join(dealt, docs.doc_id == dealt.node).select("family", "lo", "hi", "own", "node", "text")
+    # The texts of all families, moved once.
+    held = save(docs.join(families, docs.doc_id == families.node).select("family", "node", "text"))
+    sizes = firsts.join(base.select("digest", "n_shingles", F.col("doc_id").alias("node")), ["digest", "node"]).groupBy("node").agg(F.max("n_shingles").alias("size"))
+    closer = _by_prefix(held, percent, n)
+    sized = save(closer.withColumnRenamed("component", "family").join(sizes, "node").select("node", "family", "size"))
+    dealt = deal(sized, block_shingles)
+    keyed = held.select("node", "text").join(dealt, "node").select("family", "lo", "hi", "own", "node", "text")
     together = keyed.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "own", "node")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
