@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import map_rows, mix, save
 from .graph import components, deal
 
-#: Production parameters: longest side looked at, scales, corners a scale, radius of a patch, tables of 64 bits.
+#: Production parameters: longest side looked at, scales, corners a scale, radius of a patch, tables of 112 bits.
 SIDE, SCALES, CORNERS, RADIUS, TABLES = 256, (1.0, 0.75, 0.5), (14, 10, 8), 8, 4
 #: Most differing bits of a match, least matches that agree, their tolerance in pixels of the scale.
 MOST_BITS, LEAST_INLIERS, TOLERANCE = 40, 8, 2.5
@@ -189,8 +189,14 @@ def codes(bits: np.ndarray) -> np.ndarray:
     """Distinct 64-bit signatures: one a descriptor and table."""
     if not len(bits):
         return np.empty(0, np.uint64)
+    # A table takes every descriptor's bytes but 18, each table others.
+    picked = (np.arange(TABLES)[:, None] * 8 + np.arange(14)[None, :] * 7) % 32
+    held = np.zeros((len(bits), TABLES, 16), np.uint8)
+    held[:, :, :14] = bits.view(np.uint8).reshape(len(bits), 32)[:, picked]
+    held[:, :, 15] = np.arange(1, TABLES + 1)
+    words = held.view(np.uint64)
     with np.errstate(over="ignore"):
-        return np.unique(mix(mix(bits) + np.arange(1, TABLES + 1, dtype=np.uint64)))
+        return np.unique(mix(mix(words[:, :, 0]) + words[:, :, 1]))
 
 
 def copies(bits_a: np.ndarray, at_a: np.ndarray, bits_b: np.ndarray, at_b: np.ndarray) -> int:
