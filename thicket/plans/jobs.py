@@ -12,24 +12,20 @@ from ..functions import prefixes as P
 from ..functions import rules as R
 from ..operators import blocks, hosts, rules
 from ..operators.filters import Excludes
+from .scratch import hold
 
 
 @dataclass
 class Plan:
     """lines (line STRING and sort keys), how to order them, and the entries (valid or not) and those left by the filters, for the counts.
 
-    What several steps read (entries, the merged list, the final one) is persisted; `release` lets it go.
+    What several steps read (entries, the merged list, the final one) is written once, see `scratch.hold`.
     """
 
     lines: DataFrame
     keys: tuple
     entries: DataFrame
     left: DataFrame
-    held: tuple[DataFrame, ...] = ()
-
-    def release(self) -> None:
-        for df in self.held:
-            df.unpersist()
 
     def ordered(self) -> DataFrame:
         return self.lines.orderBy(*self.keys).select("line")
@@ -55,23 +51,23 @@ def _by_source(entries: DataFrame, filters: dict[int, Excludes], apply) -> DataF
 def domain_job(items: DataFrame, excludes: Excludes | None = None, by_source: dict[int, Excludes] | None = None, order: str = "sorted", allow_tld: bool = False, tld_sources: list[int] = (), idna: bool = True) -> Plan:
     """Hosts, normalised, valid, filtered, first seen, filtered by the job, collapsed under their parents, in order."""
     value = H.to_ascii(F.col("value")) if idna else F.col("value")
-    entries = items.withColumn("host", R.host_of_item(F.col("kind"), value, _allowed(allow_tld, list(tld_sources)))).select("src_idx", "pos", "value", "host").persist()
+    entries = hold(items.withColumn("host", R.host_of_item(F.col("kind"), value, _allowed(allow_tld, list(tld_sources)))).select("src_idx", "pos", "value", "host"))
     valid = entries.where("host is not null").select("src_idx", "pos", "host")
     left = _by_source(valid, by_source or {}, lambda x, rows: x.hosts(rows))
-    merged = (excludes or Excludes()).hosts(hosts.first_seen(left, "host")).persist()
-    final = hosts.collapse(merged).persist()
+    merged = hold((excludes or Excludes()).hosts(hosts.first_seen(left, "host")))
+    final = hold(hosts.collapse(merged))
     keys = (H.reverse_labels(F.col("line")),) if order == "sorted" else ("src_idx", "pos")
-    return Plan(final.withColumnRenamed("host", "line"), keys, entries.select("src_idx", "pos", "value", F.col("host").isNotNull().alias("valid")), left, (entries, merged, final))
+    return Plan(final.withColumnRenamed("host", "line"), keys, entries.select("src_idx", "pos", "value", F.col("host").isNotNull().alias("valid")), left)
 
 
 def ip_job(items: DataFrame, excludes: Excludes | None = None, by_source: dict[int, Excludes] | None = None, aggregate: bool = True) -> Plan:
     """Blocks, valid, filtered, distinct, filtered by the job, merged to the fewest (or just without those inside others), by address."""
-    entries = items.select("src_idx", "pos", "value", R.block_of_item(F.col("kind"), F.col("value")).alias("b")).persist()
+    entries = hold(items.select("src_idx", "pos", "value", R.block_of_item(F.col("kind"), F.col("value")).alias("b")))
     valid = entries.where("b is not null").select("src_idx", "b.*")
     left = _by_source(valid, by_source or {}, lambda x, rows: x.blocks(rows))
-    merged = (excludes or Excludes()).blocks(left.select(*blocks.KEYS).distinct()).persist()
-    final = (blocks.aggregate(merged) if aggregate else blocks.dedupe(merged)).persist()
-    return Plan(final.withColumn("line", P.text(F.struct(*blocks.KEYS))), blocks.sort_keys(), entries.select("src_idx", "pos", "value", F.col("b").isNotNull().alias("valid")), left, (entries, merged, final))
+    merged = hold((excludes or Excludes()).blocks(left.select(*blocks.KEYS).distinct()))
+    final = hold((blocks.aggregate(merged) if aggregate else blocks.dedupe(merged)))
+    return Plan(final.withColumn("line", P.text(F.struct(*blocks.KEYS))), blocks.sort_keys(), entries.select("src_idx", "pos", "value", F.col("b").isNotNull().alias("valid")), left)
 
 
 class _RulePlan(Plan):
@@ -89,12 +85,12 @@ class _RulePlan(Plan):
 def rule_job(items: DataFrame, excludes: Excludes | None = None, by_source: dict[int, Excludes] | None = None, order: str = "source", allow_tld: bool = False, tld_sources: list[int] = (), idna: bool = True) -> Plan:
     """Entries of all kinds as canonical rules, filtered, first seen, filtered by the job, collapsed, grouped by type."""
     value = H.to_ascii(F.col("value")) if idna else F.col("value")
-    entries = items.withColumn("rule", R.of_item(F.col("kind"), value, _allowed(allow_tld, list(tld_sources)))).select("src_idx", "pos", "value", "rule").persist()
+    entries = hold(items.withColumn("rule", R.of_item(F.col("kind"), value, _allowed(allow_tld, list(tld_sources)))).select("src_idx", "pos", "value", "rule"))
     valid = entries.where("rule is not null").select("src_idx", "pos", "rule")
     left = _by_source(valid, by_source or {}, lambda x, rows: x.canonical_rules(rows))
-    merged = (excludes or Excludes()).canonical_rules(rules.distinct(left)).persist()
-    final = rules.collapse(merged).persist()
-    plan = _RulePlan(final.withColumn("line", R.text(F.col("rule"))), ("src_idx", "pos"), entries.select("src_idx", "pos", "value", F.col("rule").isNotNull().alias("valid")), left, (entries, merged, final))
+    merged = hold((excludes or Excludes()).canonical_rules(rules.distinct(left)))
+    final = hold(rules.collapse(merged))
+    plan = _RulePlan(final.withColumn("line", R.text(F.col("rule"))), ("src_idx", "pos"), entries.select("src_idx", "pos", "value", F.col("rule").isNotNull().alias("valid")), left)
     plan.within_sorted = order == "sorted"
     return plan
 
@@ -104,10 +100,10 @@ def mirror_job(items: DataFrame, excludes: Excludes | None = None, idna: bool =
     ascii_value = H.to_ascii(F.col("value")) if idna else F.col("value")
     rule = R.parse(ascii_value)
     raw = R.unquote(F.regexp_replace(F.col("value"), r"(?U)\A\s+|\s+\z", ""))
-    entries = items.select("src_idx", "pos", "value", F.when(F.col("kind") == "rule", rule).alias("found"), raw.alias("raw")).persist()
+    entries = hold(items.select("src_idx", "pos", "value", F.when(F.col("kind") == "rule", rule).alias("found"), raw.alias("raw")))
     valid = entries.where("found is not null").select("src_idx", "pos", F.col("raw").alias("line"), R.canonical(F.col("found")).alias("rule"))
-    left = (excludes or Excludes()).canonical_rules(valid)
-    return Plan(left.select("src_idx", "pos", "line"), ("src_idx", "pos"), entries.select("src_idx", "pos", "value", F.col("found").isNotNull().alias("valid")), left, (entries,))
+    left = hold((excludes or Excludes()).canonical_rules(valid))
+    return Plan(left.select("src_idx", "pos", "line"), ("src_idx", "pos"), entries.select("src_idx", "pos", "value", F.col("found").isNotNull().alias("valid")), left)
 
 
 def source_stats(plan: Plan, samples: int = 5) -> DataFrame:

@@ -89,7 +89,6 @@ class Runner:
                 if s.filter != Filter():
                     by_source[i] = self._excludes(s.filter, held, f"source {s}: filter")
             plan = self._plan(job, entries, by_source, self._excludes(job.filter, held, "filter"))
-            held += plan.held
             self._gate(job, plan, failed)
             # The finished list is what the sinks write and the hash covers: it comes to the driver once, in order.
             lines = plan.ordered().cache()
