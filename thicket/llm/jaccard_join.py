@@ -186,8 +186,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = sent.groupBy("sig").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
     families = components(sent.join(shared.select("sig", "hub"), "sig").where("doc_id > hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct())
     families = families.withColumnRenamed("component", "family")
-    # The texts of all families, moved once.
-    held = save(docs.join(families, docs.doc_id == families.node).select("family", "node", "text"))
+    # The texts of all families, moved once, alike at every size: families grow with the input and are never broadcast to the texts.
+    held = save(docs.join(families.hint("merge"), docs.doc_id == families.node).select("family", "node", "text"))
     sizes = firsts.join(base.select("digest", "n_shingles", F.col("doc_id").alias("node")), ["digest", "node"]).groupBy("node").agg(F.max("n_shingles").alias("size"))
     closer = _by_prefix(held, percent, n)
     sized = save(closer.withColumnRenamed("component", "family").join(sizes, "node").select("node", "family", "size"))
