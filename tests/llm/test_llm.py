@@ -249,6 +249,43 @@ def test_image_copies(spark):
     assert got == {**{i: i for i in range(12)}, 20: 3, 21: 4, 22: 5, 23: 6, 30: 30, 31: 31, 32: 32}
 
 
+def test_image_signatures_meet_within_the_accepted_distance():
+    rng = np.random.default_rng(3)
+    for flips, least in ((5, 0.6), (8, 0.25)):
+        met = 0
+        for _ in range(400):
+            bits = rng.integers(0, 256, 32, np.uint8)
+            other = np.unpackbits(bits)
+            other[rng.choice(256, flips, False)] ^= 1
+            met += bool(len(np.intersect1d(I.codes(bits.view(np.uint64)[None]), I.codes(np.packbits(other).view(np.uint64)[None]))))
+        assert met / 400 > least
+
+
+@pytest.mark.parametrize("block", [2000, 20])
+def test_image_copies_against_all_pairs(spark, block):
+    """A family that unrelated images join, searched whole and in passes: the same as brute force over the pairs that share a signature."""
+    rng = np.random.default_rng(11)
+    vectors = [rng.normal(size=64) for _ in range(60)]
+    vectors += [v + rng.normal(0, 0.08, 64) for v in vectors[:20]]
+    rows = [(100 - i, I.picture(list(v))) for i, v in enumerate(vectors)]
+    known = sorted((i, *I.describe(I.decode(data))) for i, data in rows)
+    own = {i: set(I.codes(bits).tolist()) for i, bits, _ in known}
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for b, *y in known:
+        for a, *x in known:
+            if a < b and own[a] & own[b] and I.copies(*y, *x) >= I.LEAST_INLIERS:
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    got = {r.image_id: r.class_id for r in I.image_copies(spark.createDataFrame(rows, "image_id bigint, image binary"), block_images=block).collect()}
+    assert got == {i: find(i) for i in root} and sum(got[100 - 60 - k] == got[100 - k] for k in range(20)) >= 15
+
+
 def test_png():
     import struct
 

@@ -2,16 +2,17 @@
 
 Corners on several scales, each turned to the direction of its intensity centroid, are described by 256 binary comparisons of a smoothed
 image. Descriptors are cut into tables of bits; images that agree on all bits of a table in any descriptor share a
-signature. Families of images that share signatures go to tasks, where pairs are matched by Hamming distance and count as copies
-if enough matches agree on one similarity transform.
+signature. Families of images that share signatures go to tasks, large ones in passes; pairs that share one are matched by Hamming
+distance and count as copies if enough matches agree on one similarity transform.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, mix, save
-from .graph import components, deal
+from .graph import components
 
-#: Production parameters: longest side looked at, scales, corners a scale, radius of a patch, tables of 112 bits.
+#: Production parameters: longest side looked at, scales, corners a scale, radius of a patch, tables of 64 bits.
 SIDE, SCALES, CORNERS, RADIUS, TABLES = 256, (1.0, 0.75, 0.5), (14, 10, 8), 8, 4
 #: Most differing bits of a match, least matches that agree, their tolerance in pixels of the scale.
 MOST_BITS, LEAST_INLIERS, TOLERANCE = 40, 8, 2.5
 _TURNS = 32
+#: Bounds on memory alone: cells of a matrix of two images' features at once, features of a block of images.
+_CELLS, BLOCK_FEATURES = 1 << 18, 1 << 18
 
 
 def decode(data: bytes | None) -> np.ndarray | None:
@@ -189,68 +192,100 @@ def codes(bits: np.ndarray) -> np.ndarray:
     """Distinct 64-bit signatures: one a descriptor and table."""
     if not len(bits):
         return np.empty(0, np.uint64)
-    # A table takes every descriptor's bytes but 18, each table others.
-    picked = (np.arange(TABLES)[:, None] * 8 + np.arange(14)[None, :] * 7) % 32
-    held = np.zeros((len(bits), TABLES, 16), np.uint8)
-    held[:, :, :14] = bits.view(np.uint8).reshape(len(bits), 32)[:, picked]
-    held[:, :, 15] = np.arange(1, TABLES + 1)
-    words = held.view(np.uint64)
     with np.errstate(over="ignore"):
-        return np.unique(mix(mix(words[:, :, 0]) + words[:, :, 1]))
+        return np.unique(mix(mix(bits) + np.arange(1, TABLES + 1, dtype=np.uint64)))
 
 
 def copies(bits_a: np.ndarray, at_a: np.ndarray, bits_b: np.ndarray, at_b: np.ndarray) -> int:
-    """How many matches of two images agree on one similarity transform."""
-    apart = np.bitwise_count(bits_a[:, None, :] ^ bits_b[None, :, :]).sum(2)
-    i, j = np.nonzero((apart <= MOST_BITS) & (apart == apart.min(1, keepdims=True)))
+    """How many matches of two images agree on one similarity transform; 0 where too few do."""
+    if not len(bits_a) or not len(bits_b):
+        return 0
+    found, step = [], max(1, _CELLS // len(bits_b))
+    for lo in range(0, len(bits_a), step):
+        apart = np.zeros((len(bits_a[lo : lo + step]), len(bits_b)), np.uint16)
+        for k in range(bits_a.shape[1]):
+            apart += np.bitwise_count(bits_a[lo : lo + step, None, k] ^ bits_b[None, :, k])
+        least = apart.min(1, keepdims=True)
+        i, j = np.nonzero((apart == least) & (least <= MOST_BITS))
+        found.append((i + lo, j))
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
     if len(i) < LEAST_INLIERS:
         return 0
     p, q = at_a[i], at_b[j]
     size, turn = q[:, 2] / p[:, 2], q[:, 3] - p[:, 3]
     # Each match proposes a transform; the places of all others are held against it.
-    c, s = (size * np.cos(turn))[:, None], (size * np.sin(turn))[:, None]
-    ox, oy = p[None, :, 0] - p[:, None, 0], p[None, :, 1] - p[:, None, 1]
-    ex = c * ox - s * oy + q[:, None, 0] - q[None, :, 0]
-    ey = s * ox + c * oy + q[:, None, 1] - q[None, :, 1]
-    near = (ex * ex + ey * ey <= (TOLERANCE * np.maximum(q[None, :, 2], 1) + 0.1 * np.hypot(ox, oy)) ** 2) & (abs(np.log(size[:, None] / size[None, :])) < 0.35) & (np.cos(turn[:, None] - turn[None, :]) > 0.9)
-    best = near[near.sum(1).argmax()]
-    return min(len(set(i[best].tolist())), len({tuple(x) for x in np.rint(at_b[j[best], :2]).tolist()}), len({tuple(x) for x in np.rint(at_a[i[best], :2]).tolist()}))
-
-
-def link(images: list[tuple[np.ndarray, np.ndarray]], split: int | None = None) -> list[tuple[int, int]]:
-    """Pairs of positions that are copies, spanning every component; pairs share a signature. split: as for pairs of blocks, only across it."""
-    own = [codes(b) for b, _ in images]
-    sizes = np.array([len(c) for c in own])
-    code, owner = np.concatenate(own), np.repeat(np.arange(len(images)), sizes)
-    order = np.lexsort((owner, code))
-    by, members = code[order], owner[order]
-    fresh = np.r_[True, by[1:] != by[:-1]]
-    starts = np.flatnonzero(fresh)
-    ends = np.r_[starts[1:], len(by)]
-    list_of = np.empty(len(by), np.int64)
-    list_of[order] = np.cumsum(fresh) - 1
-    last = np.cumsum(sizes)
-    root = list(range(len(images)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
+    uc, us, log = np.cos(turn), np.sin(turn), np.log(size)
+    c, s = size * uc, size * us
+    near, most = None, LEAST_INLIERS - 1
+    step = max(1, _CELLS // len(i))
+    for lo in range(0, len(i), step):
+        k = np.arange(lo, min(lo + step, len(i)))
+        alike = (abs(log[k, None] - log) < 0.35) & (uc[k, None] * uc + us[k, None] * us > 0.9)
+        k, alike = (x[alike.sum(1) > most] for x in (k, alike))
+        if not len(k):
+            continue
+        ox, oy = p[:, 0] - p[k, None, 0], p[:, 1] - p[k, None, 1]
+        ex = c[k, None] * ox - s[k, None] * oy + q[k, None, 0] - q[:, 0]
+        ey = s[k, None] * ox + c[k, None] * oy + q[k, None, 1] - q[:, 1]
+        agree = alike & (ex * ex + ey * ey <= (TOLERANCE * np.maximum(q[:, 2], 1) + 0.1 * np.sqrt(ox * ox + oy * oy)) ** 2)
+        counts = agree.sum(1)
+        if counts.max() > most:
+            near, most = agree[counts.argmax()], counts.max()
+    if near is None:
+        return 0
+    return min(len(set(i[near].tolist())), len({tuple(x) for x in np.rint(at_b[j[near], :2]).tolist()}), len({tuple(x) for x in np.rint(at_a[i[near], :2]).tolist()}))
+
+
+class Index:
+    """The signatures of a bounded set of images, to find those that share one with another image."""
+
+    def __init__(self, images: list[tuple[np.ndarray, np.ndarray]]):
+        own = [codes(b) for b, _ in images]
+        code, owner = np.concatenate(own), np.repeat(np.arange(len(images)), [len(c) for c in own])
+        order = np.lexsort((owner, code))
+        code, self.members = code[order], owner[order].astype(np.int32)
+        starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.empty(0, np.int64)
+        self.known, self.edges = code[starts], np.r_[starts, len(code)]
+
+    def sharing(self, own: np.ndarray) -> np.ndarray:
+        """Positions of the images that share any of the signatures, those with the most first."""
+        if not len(own) or not len(self.known):
+            return np.empty(0, np.int64)
+        at = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
+        at = at[self.known[at] == own]
+        if not len(at):
+            return np.empty(0, np.int64)
+        seen, count = np.unique(np.concatenate([self.members[self.edges[k] : self.edges[k + 1]] for k in at]), return_counts=True)
+        return seen[np.argsort(-count, kind="stable")]
+
+
+class Roots(dict):
+    """Which nodes are in one component already."""
+
+    def find(self, i: int) -> int:
+        while (up := self.setdefault(i, i)) != i:
+            self[i] = self[up]
+            i = self[i]
         return i
 
-    links = []
-    for x in range(split or 0, len(images)):
-        limit = x if split is None else split
-        lists = [members[starts[k] : ends[k]] for k in list_of[last[x] - sizes[x] : last[x]] if ends[k] - starts[k] > 1]
-        if not lists:
-            continue
-        seen, count = np.unique(np.concatenate(lists), return_counts=True)
-        seen, count = seen[seen < limit], count[seen < limit]
-        for y in seen[np.argsort(-count, kind="stable")].tolist():
-            if find(y) != find(x) and copies(*images[x], *images[y]) >= LEAST_INLIERS:
-                links.append((x, y))
-                root[find(x)] = find(y)
-    return links
+
+def link(held: list[tuple[int, np.ndarray, np.ndarray]], given: Iterable[tuple[int, np.ndarray, np.ndarray]], inside: Callable[[int], bool]) -> Iterator[tuple[int, int]]:
+    """Links (a, b) between given and held images (node, bits, places) that are copies, spanning every component of these pairs.
+
+    Pairs share a signature. inside: whether the given node is held itself; such a node is compared with smaller ones alone.
+    """
+    index, roots = Index([r[1:] for r in held]), Roots()
+    for node, bits, places in given:
+        both = inside(node)
+        for y in index.sharing(codes(bits)).tolist():
+            other, *features = held[y]
+            if other == node or both and other > node or roots.find(other) == roots.find(node):
+                continue
+            # The larger id's features are matched to the smaller's, whichever of the two is held.
+            pair = ((bits, places), features) if node > other else (features, (bits, places))
+            if copies(*pair[0], *pair[1]) >= LEAST_INLIERS:
+                roots[roots.find(node)] = roots.find(other)
+                yield node, other
 
 
 def image_copies(images: DataFrame, id_col: str = "image_id", image_col: str = "image", block_images: int = 2000) -> DataFrame:
@@ -260,9 +295,12 @@ def image_copies(images: DataFrame, id_col: str = "image_id", image_col: str = "
     pixels are shared, a class of their own. Null id: null class. Rows that repeat an id each take the class of their own pixels. Empty table:
     no rows. Other columns are not read. The strongest corners of each scale describe an image (a bound on features, the same for all).
 
-    Scale: one pass decodes; after it only features (about 2 KB an image) and signatures move. Pixel copies are one node. Signatures are
-    pre-aggregated to their smallest node, so a common one makes a star, not all pairs; large families are dealt as pairs of blocks.
+    Scale: one pass decodes; after it only features and signatures move. Pixel copies are one node. Signatures are pre-aggregated to
+    their smallest node in each task, so a common one sends a row a task, and makes a star, not all pairs. Families up to `block_images` (and
+    BLOCK_FEATURES) are dealt to tasks. Those above are searched in passes: each holds a block of that size against all from it on, which are
+    read where they lie, so features move once, however large a family is, and any two images of it meet once.
     """
+    spark = images.sparkSession
 
     def make():
         def one(image_id, data):
@@ -276,44 +314,114 @@ def image_copies(images: DataFrame, id_col: str = "image_id", image_col: str = "
 
         return one
 
-    base = save(map_rows(images.select(F.col(id_col).cast("bigint").alias("image_id"), F.col(image_col).alias("image")), make, "image_id bigint, digest binary, n_keypoints int, bits binary, places binary"))
-    firsts = save(base.where("digest is not null").groupBy("digest").agg(F.min("image_id").alias("node")))
-    nodes = base.join(firsts, (base.digest == firsts.digest) & (base.image_id == firsts.node), "left_semi")
-
-    def signed():
-        def one(node, bits):
-            for code in codes(np.frombuffer(bits, np.uint64).reshape(-1, 4)).view(np.int64).tolist():
-                yield node, code
+    base = save(
+        map_rows(images.select(F.col(id_col).cast("bigint").alias("image_id"), F.col(image_col).alias("image")), make, "image_id bigint, digest binary, n_keypoints int, bits binary, places binary").withColumn(
+            "row", F.monotonically_increasing_id()
+        )
+    )
+    firsts = base.where("digest is not null").groupBy("digest").agg(F.min(F.struct("image_id", "row")).alias("first"))
+    firsts = save(firsts.select("digest", F.col("first.image_id").alias("node"), F.col("first.row").alias("row")))
+    nodes = base.join(firsts.select("row"), "row", "left_semi").select(F.col("image_id").alias("node"), "n_keypoints", "bits", "places")
+
+    def features(bits: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(bits, np.uint64).reshape(-1, 4), np.frombuffer(places, np.float32).reshape(-1, 4).astype(np.float64)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(code, a, b): the first holder of a code here, b null; or, under any code, a link of a later one to it."""
+        held, owners, size = [], [], 0
+
+        def out() -> pa.RecordBatch:
+            code, node = np.concatenate(held), np.repeat(np.array(owners, np.int64), [len(c) for c in held])
+            order = np.lexsort((node, code))
+            code, node = code[order], node[order]
+            fresh = np.r_[True, code[1:] != code[:-1]]
+            hub = node[fresh][np.cumsum(fresh) - 1]
+            links = np.unique(np.stack([node[~fresh], hub[~fresh]], 1), axis=0)
+            firsts = int(fresh.sum())
+            code = np.r_[code[fresh], mix(links[:, 0].astype(np.uint64))].view(np.int64)
+            b = pa.array(np.r_[np.zeros(firsts, np.int64), links[:, 1]], pa.int64(), mask=np.arange(len(code)) < firsts)
+            return pa.RecordBatch.from_pydict({"code": pa.array(code), "a": pa.array(np.r_[node[fresh], links[:, 0]], pa.int64()), "b": b})
 
-        return one
+        for batch in batches:
+            for node, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = codes(np.frombuffer(bits, np.uint64).reshape(-1, 4))
+                if len(found):
+                    held.append(found)
+                    owners.append(node)
+                    size += len(found)
+                if size >= 1 << 19:
+                    yield out()
+                    held, owners, size = [], [], 0
+        if held:
+            yield out()
 
-    sent = save(map_rows(nodes.select("image_id", "bits"), signed, "image_id bigint, code bigint"))
-    hubs = sent.groupBy("code").agg(F.min("image_id").alias("hub"), F.max("image_id").alias("last")).where("hub < last").select("code", "hub")
-    families = components(sent.join(hubs, "code").where("image_id > hub").select(F.col("image_id").alias("a"), F.col("hub").alias("b")).distinct())
-    dealt = deal(families.select("node", F.col("component").alias("family"), F.lit(1).alias("size")), block_images)
-    keyed = nodes.join(dealt, nodes.image_id == dealt.node).dropDuplicates(["node", "family", "lo", "hi"]).select("family", "lo", "hi", "own", "node", "bits", "places")
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by code, then a -> links of the holders of a code to its smallest one."""
+        last, hub = None, None
+        for batch in batches:
+            code, a, b = (batch.column(i) for i in range(3))
+            linked = b.is_valid().to_numpy(zero_copy_only=False)
+            x, code = a.to_numpy()[~linked], code.to_numpy()[~linked]
+            y = np.empty(0, np.int64)
+            if len(x):
+                fresh = np.r_[code[0] != last, code[1:] != code[:-1]]
+                at = np.maximum.accumulate(np.where(fresh, np.arange(len(x)), -1))
+                y = np.where(at >= 0, x[at], hub if hub is not None else -1)
+                last, hub = code[-1], y[-1]
+            keep = x != y
+            yield pa.RecordBatch.from_pydict({"a": pa.array(np.r_[x[keep], a.to_numpy()[linked]]), "b": pa.array(np.r_[y[keep], b.drop_null().to_numpy()])})
+
+    sent = nodes.select("node", "bits").mapInArrow(sign, "code bigint, a bigint, b bigint").repartition("code").sortWithinPartitions("code", "a")
+    families = components(sent.mapInArrow(meet, "a bigint, b bigint").distinct()).withColumnRenamed("component", "family")
+    families = families.join(nodes.groupBy("node").agg(F.sum("n_keypoints").alias("size")), "node")
+    sizes = families.groupBy("family").agg(((F.count("*") > block_images) | (F.sum("size") > BLOCK_FEATURES)).alias("large"))
+    families = save(families.join(sizes, "family"))
+    n_large, features_large = families.where("large").agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
         def found() -> pa.RecordBatch:
-            order = sorted(held, key=lambda r: (r[0] != key[1], r[1]))
-            pairs = link([r[2:] for r in order], None if key[1] == key[2] else sum(r[0] == key[1] for r in order)) if len(order) > 1 else []
-            return pa.RecordBatch.from_pydict({"a": pa.array([order[x][1] for x, _ in pairs], pa.int64()), "b": pa.array([order[y][1] for _, y in pairs], pa.int64())})
+            pairs = list(link(held, held, lambda node: True)) if len(held) > 1 else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
         for batch in batches:
-            for family, lo, hi, own, node, bits, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (family, lo, hi) != key:
+            for family, node, bits, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if family != key:
                     if held:
                         yield found()
-                    key, held = (family, lo, hi), []
-                held.append((own, node, np.frombuffer(bits, np.uint64).reshape(-1, 4), np.frombuffer(places, np.float32).reshape(-1, 4).astype(np.float64)))
+                    key, held = family, []
+                held.append((node, *features(bits, places)))
         if held:
             yield found()
 
-    links = keyed.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "own", "node").mapInArrow(search, "a bigint, b bigint")
+    keyed = nodes.join(families.where("not large").select("node", "family"), "node").select("family", "node", "bits", "places")
+    links = keyed.repartition("family").sortWithinPartitions("family", "node").mapInArrow(search, "a bigint, b bigint")
+    if n_large:
+        n_blocks = max(-(-n_large // block_images), -(-features_large // BLOCK_FEATURES))
+        block = F.pmod(F.xxhash64("node"), F.lit(n_blocks)).cast("int").alias("block")
+        large = save(nodes.join(families.where("large").select("node"), "node", "left_semi").select(block, "node", "bits", "places"))
+        for k in range(n_blocks):
+            shared = spark.sparkContext.broadcast([tuple(r) for r in large.where(F.col("block") == k).select("node", "bits", "places").collect()])
+
+            def across(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+                held = [(node, *features(bits, places)) for node, bits, places in shared.value]
+                own = {r[0] for r in held}
+
+                def given() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+                    for batch in batches:
+                        for lo in range(0, batch.num_rows, 256):
+                            for node, bits, places in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True):
+                                yield node, *features(bits, places)
+
+                pairs = link(held, given(), own.__contains__)
+                while part := list(islice(pairs, 10_000)):
+                    yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in part], pa.int64()), "b": pa.array([b for _, b in part], pa.int64())})
+
+            links = links.unionByName(save(large.where(F.col("block") >= k).select("node", "bits", "places").mapInArrow(across, "a bigint, b bigint")))
+            shared.destroy()
     joined = components(links)
-    rows = base.select("image_id", "n_keypoints", "digest").join(firsts, "digest", "left")
+    rows = base.select("image_id", "n_keypoints", "digest").join(firsts.select("digest", "node"), "digest", "left")
     return rows.join(joined, "node", "left").select("image_id", F.coalesce("component", "node", "image_id").alias("class_id"), "n_keypoints")
 
 
