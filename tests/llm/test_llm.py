@@ -286,6 +286,29 @@ def test_image_copies_against_all_pairs(spark, block):
     assert got == {i: find(i) for i in root} and sum(got[100 - 60 - k] == got[100 - k] for k in range(20)) >= 15
 
 
+def test_image_crops_and_resizes_are_recalled():
+    """Against brute force: what all pairs of descriptors accept also shares a signature; unrelated images are not accepted."""
+    rng = np.random.default_rng(5)
+
+    def field():
+        noise = rng.normal(0, 1, (160, 160))
+        for _ in range(3):
+            noise = I._blur(noise, I._G5)
+        return np.rint(127.5 + 127 * noise / abs(noise).max())
+
+    crop = lambda a, f: a[20 : 20 + round(160 * f), 20 : 20 + round(160 * f)]
+    less = lambda a: I.resize(a, round(a.shape[0] * 0.85), round(a.shape[1] * 0.85))
+    full = [field() for _ in range(8)]
+    seen = [I.describe(a) for a in full]
+    for edit in (less, lambda a: less(crop(a, 0.6)), lambda a: crop(a, 0.35), lambda a: crop(a, 0.5) + rng.normal(0, 8, (80, 80))):
+        for k, a in enumerate(full):
+            made = I.describe(np.clip(np.rint(edit(a)), 0, 255))
+            assert len(np.intersect1d(I.codes(seen[k][0]), I.codes(made[0])))
+            assert I.copies(*made, *seen[k]) >= I.LEAST_INLIERS and I.copies(*seen[k], *made) >= I.LEAST_INLIERS
+            other = seen[(k + 1) % len(full)]
+            assert I.copies(*made, *other) < I.LEAST_INLIERS and I.copies(*other, *made) < I.LEAST_INLIERS
+
+
 def test_png():
     import struct
 

@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from .common import map_rows, mix, save
 from .graph import components
 
-#: Production parameters: longest side looked at, scales, corners a scale, radius of a patch, tables of 64 bits.
-SIDE, SCALES, CORNERS, RADIUS, TABLES = 256, (1.0, 0.75, 0.5), (14, 10, 8), 8, 4
-#: Most differing bits of a match, least matches that agree, their tolerance in pixels of the scale.
-MOST_BITS, LEAST_INLIERS, TOLERANCE = 40, 8, 2.5
+#: Production parameters: longest side looked at, scales, radius of a patch, tables of 64 bits.
+SIDE, SCALES, RADIUS, TABLES = 256, (1.0, 0.75, 0.5), 8, 4
+#: Most differing bits of a match, least matches that agree (beyond one in CHANCE, which do by chance), their tolerance in pixels of the scale.
+MOST_BITS, LEAST_INLIERS, CHANCE, TOLERANCE = 40, 8, 100, 2.5
 _TURNS = 32
 #: Bounds on memory alone: cells of a matrix of two images' features at once, features of a block of images.
 _CELLS, BLOCK_FEATURES = 1 << 18, 1 << 18
@@ -156,7 +156,7 @@ def describe(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rows, cols = _pattern()
     dy, dx = _disc()
     bits, places = [], []
-    for scale, corners in zip(SCALES, CORNERS, strict=True):
+    for scale in SCALES:
         hh, ww = round(image.shape[0] * scale), round(image.shape[1] * scale)
         if min(hh, ww) <= 2 * RADIUS + 2:
             continue
@@ -174,8 +174,7 @@ def describe(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ys, xs = np.nonzero(top & (inner > 1.0))
         if not len(ys):
             continue
-        best = np.argsort(-inner[ys, xs], kind="stable")[:corners]
-        ys, xs = ys[best] + m, xs[best] + m
+        ys, xs = ys + m, xs + m
         patch = level[ys[:, None] + dy, xs[:, None] + dx]
         angle = np.arctan2((patch * dy).sum(1), (patch * dx).sum(1))
         turn = np.rint(angle / (2 * np.pi) * _TURNS).astype(np.int64) % _TURNS
@@ -197,7 +196,7 @@ def codes(bits: np.ndarray) -> np.ndarray:
 
 
 def copies(bits_a: np.ndarray, at_a: np.ndarray, bits_b: np.ndarray, at_b: np.ndarray) -> int:
-    """How many matches of two images agree on one similarity transform; 0 where too few do."""
+    """How many matches of two images agree on one similarity transform, less one in CHANCE of all matches; 0 where too few do."""
     if not len(bits_a) or not len(bits_b):
         return 0
     found, step = [], max(1, _CELLS // len(bits_b))
@@ -216,7 +215,8 @@ def copies(bits_a: np.ndarray, at_a: np.ndarray, bits_b: np.ndarray, at_b: np.nd
     # Each match proposes a transform; the places of all others are held against it.
     uc, us, log = np.cos(turn), np.sin(turn), np.log(size)
     c, s = size * uc, size * us
-    near, most = None, LEAST_INLIERS - 1
+    chance = len(i) // CHANCE
+    near, most = None, LEAST_INLIERS + chance - 1
     step = max(1, _CELLS // len(i))
     for lo in range(0, len(i), step):
         k = np.arange(lo, min(lo + step, len(i)))
@@ -233,7 +233,7 @@ def copies(bits_a: np.ndarray, at_a: np.ndarray, bits_b: np.ndarray, at_b: np.nd
             near, most = agree[counts.argmax()], counts.max()
     if near is None:
         return 0
-    return min(len(set(i[near].tolist())), len({tuple(x) for x in np.rint(at_b[j[near], :2]).tolist()}), len({tuple(x) for x in np.rint(at_a[i[near], :2]).tolist()}))
+    return max(0, min(len(set(i[near].tolist())), len({tuple(x) for x in np.rint(at_b[j[near], :2]).tolist()}), len({tuple(x) for x in np.rint(at_a[i[near], :2]).tolist()})) - chance)
 
 
 class Index:
@@ -293,7 +293,8 @@ def image_copies(images: DataFrame, id_col: str = "image_id", image_col: str = "
 
     Images that decode to the same pixels are copies at once. Null, unreadable or featureless images have 0 keypoints and, where no
     pixels are shared, a class of their own. Null id: null class. Rows that repeat an id each take the class of their own pixels. Empty table:
-    no rows. Other columns are not read. The strongest corners of each scale describe an image (a bound on features, the same for all).
+    no rows. Other columns are not read.
+    Every corner above the response threshold describes an image, so that a crop keeps those of its area.
 
     Scale: one pass decodes; after it only features and signatures move. Pixel copies are one node. Signatures are pre-aggregated to
     their smallest node in each task, so a common one sends a row a task, and makes a star, not all pairs. Families up to `block_images` (and
