@@ -35,8 +35,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked at a 3-word Jaccard similarity of 0.9, directly or through others, the one with the smallest id stays. Documents without words or id all stay."""
-    found = jaccard_components(docs)
+    """Of documents linked at a 5-word Jaccard similarity of 0.8, directly or through others, the one with the smallest id stays. Documents without words or id all stay."""
+    found = jaccard_components(docs, percent=80, n=5)
     others = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 

@@ -96,6 +96,36 @@ def test_signatures_and_search_miss_no_link():
         assert bool(J.divide_skip([small, large], 90)) == linked
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90, 95])
+def test_signatures_at_other_thresholds(percent):
+    rng = np.random.default_rng(percent)
+    for size in [*range(1, 60), *rng.integers(60, 1500, 150).tolist()]:
+        x = np.unique(rng.integers(0, 2**62, size).astype(np.uint64))
+        least = -(-percent * len(x) // 100)
+        y = x[rng.permutation(len(x))[: int(rng.integers(least, len(x) + 1))]]
+        assert len(y) == len(x) or len(np.intersect1d(J.signatures(x, percent), J.signatures(np.sort(y), percent)))
+
+
+def test_pipeline_near_copies_at_five_words(spark):
+    import corpus_pipeline as C
+
+    rng = random.Random(12)
+    rows = []
+    for size in (30, 80, 200, 600):
+        words = prose(rng, size).split()
+        rows.append(words)
+        for share in (0.006, 0.012, 0.018, 0.024):
+            w = list(words)
+            for k in rng.sample(range(size), max(1, int(share * size))):
+                w[k] = "changed"
+            rows += [w, words[: size - int(5 * share * size)]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    docs = spark.createDataFrame([*rows, (900, None), (None, rows[0][1])], DOCS)
+    kept = sorted((r.doc_id for r in C.near_copies(spark, docs, SF).collect()), key=lambda i: (i is None, i))
+    assert kept == [i for i, (_, c) in brute_components(rows, 5, 80).items() if i == c] + [900, None]
+    assert kept != [i for i, (_, c) in brute_components(rows, 3, 90).items() if i == c] + [900, None]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)]

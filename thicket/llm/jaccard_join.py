@@ -1,6 +1,6 @@
 """N-gram Jaccard self-join: exact links at a Jaccard threshold over distinct word shingles, by T-occurrence search.
 
-1. One pass over the texts hashes every 3-word shingle to 64 bits and forms the set's size and digest. Rows with
+1. One pass over the texts hashes every n-word shingle to 64 bits and forms the set's size and digest. Rows with
    one digest are copies of one set: only the smallest doc_id of them goes on.
 2. Routing. Two sets at Jaccard >= t differ in at most (1-t)/(1+t) * (|x|+|y|) shingles. Dealing the shingle space into one part
    more than that leaves at least one part on which they agree exactly, so each set emits one signature a
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import map_rows, mix, save, window_hashes, word_hashes
 from .graph import components, deal
 
-#: The weight of a binary probe against a merge step in DivideSkip; the ratio of a band's largest to its smallest size.
+#: The weight of a binary probe against a merge step in DivideSkip; the least ratio of a band's largest to its smallest size.
 MU, BAND = 0.0085, 1.12
 
 
@@ -48,12 +48,13 @@ def least_overlap(total: int, percent: int) -> int:
 def signatures(found: np.ndarray, percent: int) -> np.ndarray:
     """64-bit signatures of which any two linked, unequal sets share one."""
     size = len(found)
-    band = max(0, int(math.log(max(size, 1)) / math.log(BAND)) - 1)
-    while math.ceil(BAND ** (band + 1)) <= size:
+    ratio = max(BAND, 1.008 * 100 / percent)  # above the ratio of two linked sizes, so that these are in one band or in neighbouring ones
+    band = max(0, int(math.log(max(size, 1)) / math.log(ratio)) - 1)
+    while math.ceil(ratio ** (band + 1)) <= size:
         band += 1
     out = []
     for b in (band, band + 1):
-        low, high = math.ceil(BAND**b), math.ceil(BAND ** (b + 1)) - 1
+        low, high = math.ceil(ratio**b), math.ceil(ratio ** (b + 1)) - 1
         if b > band and 100 * size < percent * low:
             break  # too small for any partner of the next band
         parts = (100 - percent) * 2 * high // (100 + percent) + 1
