@@ -184,6 +184,22 @@ def test_decontamination_removes(spark):
     assert got == {1: docs[0][1].replace(item, ""), 3: docs[2][1], 4: None}
 
 
+def test_decontamination_removes_alike_in_blocks(spark):
+    """Items that overlap in a text: no block sees what another cut, and the ratio counts the hits of all."""
+    rng = random.Random(21)
+    text = prose(rng, 30).split()
+    some = prose(rng, 40).split()
+    items = [(1, " ".join(text[:10])), (2, " ".join(text[5:20])), (3, " ".join(some[:12])), (4, " ".join(some[6:18])), (5, " ".join(some[:3] + some[20:27]))]
+    docs = [(1, " ".join(text)), (2, " ".join(some)), (3, prose(rng, 20)), (4, None), (5, ""), (1, " ".join(some[10:]))]
+    frame = spark.createDataFrame([(*d, "k", 7) for d in docs], DOCS + ", spans string, at int")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {block: D.remove(frame, bench, block_bytes=block) for block in (D.BLOCK_BYTES, 50)}
+    assert all(x.columns == frame.columns for x in found.values())
+    got = {block: sorted((r.doc_id, r.text or "", r.spans, r["at"]) for r in x.collect()) for block, x in found.items()}
+    assert got[50] == got[D.BLOCK_BYTES]
+    assert [r[:2] for r in got[50]] == [(1, " ".join(some[10:])), (2, " " + " ".join(some[18:])), (3, docs[2][1]), (4, ""), (5, "")]
+
+
 def test_line_dedup(spark):
     rows = [(i, f"Shared line\nown {i}\n\n shared LINE ", "h") for i in range(20)] + [(50 + i, f"own {i}\nrare", None) for i in range(6)] + [(60, None, "h"), (61, "", "k")]
     frame = spark.createDataFrame([(*r, "c") for r in rows], DOCS + ", source string, _n string")

@@ -88,24 +88,26 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]],
     return df.mapInArrow(run, out_type)
 
 
-def rebuild_rows(df: DataFrame, make: Callable[[], Callable[[str | None], str | None]], text_col: str = "text") -> DataFrame:
-    """Stream whole rows: `make()` gives a function from the text to the new text, or to None where the row goes.
+def rebuild_rows(df: DataFrame, make: Callable[[], Callable[..., tuple | None]], text_col: str = "text", beside: str | None = None) -> DataFrame:
+    """Stream whole rows: `make()` gives a function from the text to the new text in a tuple, or to None where the row goes.
 
-    All other columns pass through untouched, whatever their names.
+    All other columns pass through untouched, whatever their names. beside: a last column that the function takes too, and that goes.
     """
     where = df.columns.index(text_col)
+    given = [where, len(df.columns) - 1] if beside else [where]
+    n_out = len(df.columns) - bool(beside)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                new = [each(t) for t in part.column(where).to_pylist()]
-                cols = list(part.columns)
+                new = [each(*r) for r in zip(*(part.column(i).to_pylist() for i in given), strict=True)]
+                cols = list(part.columns)[:n_out]
                 cols[where] = pa.array([t[0] if t is not None else None for t in new], type=cols[where].type)
-                yield pa.RecordBatch.from_arrays(cols, schema=part.schema).filter(pa.array([t is not None for t in new]))
+                yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(list(part.schema)[:n_out])).filter(pa.array([t is not None for t in new]))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(run, StructType(df.schema.fields[:n_out]))
 
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

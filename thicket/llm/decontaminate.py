@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -135,26 +136,66 @@ def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_c
     """docs without what the benchmark holds: hit spans are cut out of the text; a row goes where over `max_hit_ratio` of its words are hit.
 
     All columns stay, whatever their names; a text without a hit stays as it is to the byte. Null texts stay. A benchmark above `block_bytes`
-    is applied in passes, each cutting what its items hit in the text that the pass before left.
+    is looked for in passes over the same original texts; their hits are put together before the ratio is judged and the text is cut, once.
     """
     spark = docs.sparkSession
     benchmark = benchmark.where(F.col(item_col).isNotNull())
-    for rows in _blocks(benchmark, item_col, item_text_col, block_bytes):
+    blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
+    first, second = next(blocks, []), next(blocks, None)
+
+    def left(text, hit):
+        if not hit.any():
+            return (text,)
+        return None if hit.mean() > max_hit_ratio else (cut(text, hit),)
+
+    if second is None:
+        shared = spark.sparkContext.broadcast([(r[0], r[1]) for r in first])
+
+        def make():
+            known = WindowSet(shared.value, n)
+            return lambda text: left(text, known.hits(words_of(text))[0])
+
+        return rebuild_rows(docs, make, text_col)
+
+    columns = docs.columns
+    at, spans = (_unused(x, columns) for x in ("at", "spans"))
+    docs = save(docs.withColumn(at, F.monotonically_increasing_id()))  # saved: each pass sees the same rows under the same numbers
+    found = None
+    for rows in chain((first, second), blocks):
         shared = spark.sparkContext.broadcast([(r[0], r[1]) for r in rows])
 
-        def make(shared=shared):
+        def search(shared=shared):
             known = WindowSet(shared.value, n)
 
-            def one(text):
+            def one(row, text):
                 hit, _ = known.hits(words_of(text))
-                if not hit.any():
-                    return (text,)
-                return None if hit.mean() > max_hit_ratio else (cut(text, hit),)
+                if hit.any():
+                    yield row, spans_of(hit)
 
             return one
 
-        docs = rebuild_rows(docs, make, text_col)
-    return docs
+        part = save(map_rows(docs.select(at, text_col), search, f"{at} bigint, {spans} array<struct<start: int, end: int>>"))
+        shared.destroy()
+        found = part if found is None else found.unionByName(part)
+    found = found.groupBy(at).agg(F.flatten(F.collect_list(spans)).alias(spans))  # bounded by one text
+
+    def rebuild():
+        def one(text, hits):
+            hit = np.zeros(len(words_of(text)), bool)
+            for s in hits or ():
+                hit[s["start"] : s["end"]] = True
+            return left(text, hit)
+
+        return one
+
+    return rebuild_rows(docs.join(found, at, "left").select(*columns, spans), rebuild, text_col, beside=spans)
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def cut(text: str, hit: np.ndarray) -> str:
