@@ -81,6 +81,16 @@ def test_jaccard_join_corner_cases(spark):
     assert got == [(-1, 2, -1), (3, 2, 3), (5, 2, 3), (5, 2, 3), (7, 2, 3), (9, 0, 9)]
 
 
+def test_jaccard_join_of_a_short_and_a_long_text_under_one_id(spark):
+    rng = random.Random(31)
+    short, long = prose(rng, 42).split(), prose(rng, 402).split()
+    # The short text's shingles are more common than the long one's.
+    rows = [(5, " ".join(short)), (5, " ".join(long)), (9, " ".join([*long, "more"])), (12, prose(rng, 50))]
+    rows += [(20 + i, " ".join([*short, prose(rng, 1)])) for i in range(4)]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in J.jaccard_components(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {(5, 40): 5, (5, 400): 5, (9, 401): 5, (12, 48): 12, **{(20 + i, 41): 5 for i in range(4)}}
+
+
 def test_signatures_and_search_miss_no_link():
     rng = np.random.default_rng(1)
     for _ in range(300):

@@ -132,20 +132,23 @@ def divide_skip(sets: list[np.ndarray], percent: int, split: int | None = None)
     return links
 
 
-def _by_prefix(texts: DataFrame, percent: int, n: int) -> DataFrame:
-    """(node, text) -> (node, component): families by prefix filter, of the sets that share a signature with another.
+def _by_prefix(texts: DataFrame, firsts: DataFrame, percent: int, n: int) -> DataFrame:
+    """(text), (digest, node) -> (node, component): families by prefix filter, of the sets that share a signature with another.
+
+    Each set goes by its own digest, so that an id with several texts has the prefix of each; its node may be in several families.
 
     With all shingles in one order, rarest first, two linked sets share one of their first |x| - ceil(t * |x|) + 1. What many texts
     hold, a common passage say, comes last in that order and joins nothing. Shingles of one set alone come first and are only counted.
     """
 
     def make():
-        def one(node, text):
-            yield node, shingles(text, n).view(np.int64)
+        def one(text):
+            found = shingles(text, n)
+            yield hashlib.md5(found.tobytes()).digest(), found.view(np.int64)
 
         return one
 
-    sets = map_rows(texts.select("node", "text"), make, "node bigint, found array<bigint>")
+    sets = map_rows(texts.select("text"), make, "digest binary, found array<bigint>").select(F.xxhash64("digest").alias("node"), "found")
     rows = sets.select("node", F.size("found").alias("n"), F.explode("found").alias("shingle"))
     shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     common = save(rows.join(shared, "shingle"))
@@ -157,7 +160,8 @@ def _by_prefix(texts: DataFrame, percent: int, n: int) -> DataFrame:
     prefix = common.join(open_sets, F.col("node") == F.col("set")).withColumn("at", F.row_number().over(order)).where("at <= take").select("node", "shingle")
     prefix = save(prefix)
     hubs = prefix.groupBy("shingle").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("shingle", "hub")
-    return components(prefix.join(hubs, "shingle").where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    found = components(prefix.join(hubs, "shingle").where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    return firsts.select(F.xxhash64("digest").alias("set"), F.col("node").alias("id")).join(found, F.col("set") == F.col("node")).select(F.col("id").alias("node"), "component").distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, n: int = 3, block_shingles: int = 2_000_000) -> DataFrame:
@@ -190,7 +194,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # The texts of all families, moved once, alike at every size: families grow with the input and are never broadcast to the texts.
     held = save(docs.join(families.hint("merge"), docs.doc_id == families.node).select("family", "node", "text"))
     sizes = firsts.join(base.select("digest", "n_shingles", F.col("doc_id").alias("node")), ["digest", "node"]).groupBy("node").agg(F.max("n_shingles").alias("size"))
-    closer = _by_prefix(held, percent, n)
+    closer = _by_prefix(held, firsts, percent, n)
     sized = save(closer.withColumnRenamed("component", "family").join(sizes, "node").select("node", "family", "size"))
     dealt = deal(sized, block_shingles)
     keyed = held.select("node", "text").join(dealt, "node").select("family", "lo", "hi", "own", "node", "text")
