@@ -267,6 +267,56 @@ def test_codec_equals_the_library():
     given = [t or "" for _, t in texts()] + [*S.PROBES, "".join(chr(rng.choice([32, 9, 10, 65, 233, 0x4E2D, 0x1F600])) for _ in range(500))]
     assert S.unequal(codec, data, given) == []
     assert [codec.decode(x) for x in codec.encode_batch(given)] == [t.replace(S.MARK, " ") for t in given]
+    with pytest.raises(ValueError):
+        codec.decode([-1])
+
+
+def model_file(pieces, kind, byte_fallback):
+    """A model file of hand-made pieces (text, score, kind): nothing is trained."""
+    import struct
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    def part(number, body):
+        return varint(number << 3 | 2) + varint(len(body)) + body
+
+    number = lambda n, value: varint(n << 3) + varint(value)
+    out = b"".join(part(1, part(1, t.encode()) + varint(2 << 3 | 5) + struct.pack("<f", s) + number(3, k)) for t, s, k in pieces)
+    return out + part(2, number(3, kind) + number(4, len(pieces)) + number(35, int(byte_fallback))) + part(3, part(1, b"plain") + number(3, 1) + number(4, 1) + number(5, 1))
+
+
+@pytest.mark.parametrize("kind", [S.UNIGRAM, S.BPE])
+@pytest.mark.parametrize("byte_fallback", [True, False])
+@pytest.mark.parametrize("users", [[], ["<sep>", "foo", "fo"]])
+def test_codec_of_other_models(kind, byte_fallback, users):
+    """Unigram and BPE, with and without bytes and user symbols, whole texts encoded and decoded like the library does."""
+    import sentencepiece
+
+    rng = random.Random(17)
+    given = [t or "" for _, t in texts()]
+    counts = {}
+    for w in " ".join(given[:9]).split()[:2000]:
+        for i in range(len(w) + 1):
+            for j in range(i + 1, min(len(w) + 1, i + 5) + 1):
+                counts[(S.MARK + w)[i:j]] = counts.get((S.MARK + w)[i:j], 0) + 1
+    many = sorted((x for x in counts if len(x) > 1 and x not in users), key=lambda x: (-counts[x], x))[:900]
+    single = sorted({c for t in given for c in t if c.isalnum()} | {S.MARK, ",", "."})
+    # Sixty-fourths: sums are the same in 32 and 64 bits. Distinct ones, so that no two ways to cut a word tie by plan.
+    score = (lambda i, x: -(300 + 2 * i + rng.randrange(2)) / 64) if kind == S.UNIGRAM else (lambda i, x: -float(i))
+    pieces = [("<unk>", 0.0, S.UNKNOWN), ("<s>", 0.0, S.CONTROL), ("</s>", 0.0, S.CONTROL), *((u, 0.0, S.USER) for u in users)]
+    pieces += [(f"<0x{b:02X}>", 0.0, S.BYTE) for b in range(256)] if byte_fallback else []
+    pieces += [(x, score(i, x), S.NORMAL) for i, x in enumerate([*many, *single])]
+    data = model_file(pieces, kind, byte_fallback)
+    codec, own = S.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    odd = ["a <sep> b", "xfoox", "fofoo<sep>", "<sep>", "foo bar <unk> <0x41> <0x00>", "日本 語 ab", "日本語ab日", "<sep> <sep>  x", "  fo", "fo  ", "<s>foo</s>", "\0" + "5", "a \n b\t"]
+    given = [*[t[:400] for t in given], *S.PROBES, *odd]
+    assert S.unequal(codec, data, given) == []
+    found = [np.frombuffer(x, "<i4").tolist() for x in codec.encode_batch(given)]
+    assert [codec.decode(x) for x in found] == [own.decode(x) for x in found]
 
 
 @needs_model
@@ -277,6 +327,13 @@ def test_encoding(spark):
     got = out.collect()
     assert len(got) == 5 and all(r.round_trip for r in got if r.doc_id != 3)
     assert {r.doc_id: r.text for r in S.decode(out, model).collect()} == {1: "a b", 2: "", 3: None, None: "ü\n"}
+    assert S.encode(spark.createDataFrame([], DOCS), model).count() == 0
+    long = " ".join(prose(random.Random(5), 50) for _ in range(3000)) + "é" * 5000
+    more = spark.createDataFrame([(7, long, 1, "x")], DOCS + ", ids int, n_tokens string")  # clashing names
+    row = S.encode(more, model).first()
+    assert row.round_trip and row.n_tokens == len(row.ids) and row.ids_sha256 == hashlib.sha256(np.array(row.ids, "<i4").tobytes()).hexdigest()
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        S.decode(spark.createDataFrame([(1, [-1])], "doc_id bigint, ids array<int>"), model).collect()
 
 
 @pytest.mark.parametrize("html,text", [
