@@ -18,7 +18,6 @@ from thicket.llm import sp_tokenizer as S
 from thicket.llm.graph import components
 from thicket.llm.line_dedup import line_dedup
 from thicket.llm.sharding import shard
-from thicket.llm.substring_dedup import normal, substring_dedup, units_of
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string"
@@ -218,20 +217,6 @@ def test_line_dedup(spark):
     assert len(got) == len(rows) and line_dedup(frame.where("false")).count() == 0
 
 
-def test_substring_dedup(spark):
-    rng = random.Random(3)
-    a, b = prose(rng, 30), prose(rng, 30)
-    rows = [(2, f"{a}\nx y z\n{b}"), (1, f"own\n{b.upper()}!\n{b}"), (3, "x y z"), (4, None), (5, ""), (3, "x y z"), (6, f"é {prose(rng, 12)}\n{a}")]
-    got = substring_dedup(spark.createDataFrame(rows, DOCS), min_words=5).collect()
-    by = {r.doc_id: r for r in got}
-    assert len(got) == 7 and by[4].text is None and by[5].n_units == 1 and by[3].n_removed == 0
-    assert by[2].text == f"{a}\nx y z\n" and by[1].n_removed == 1 and by[1].text == f"own\n{b.upper()}!\n"
-    for d, t in rows:
-        for s in by[d].removed:
-            assert normal(t[s.start : s.end]) in (normal(a), normal(b))
-    assert units_of("a\n\n b\nc", "paragraph") == [(0, 1), (4, 7)]
-
-
 @pytest.mark.parametrize("limit", [1 << 20, 500, 60])
 def test_sharding(spark, limit):
     rng = random.Random(6)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import scan
@@ -16,11 +17,14 @@ from .line_dedup import line_dedup
 from .quality_crf import score, train
 from .sharding import shard
 from .sp_tokenizer import encode, model_for
-from .substring_dedup import substring_dedup
+from .substring_dedup import SENTENCE, WORD_CHARS, substring_dedup
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents"))
+    """removed: the offsets as text, 'start-end,...'."""
+    found = substring_dedup(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return found.select("doc_id", "n_units", "n_removed", "removed_words", "removed_chars", spans.alias("removed"), "text")
 
 
 def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +72,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _NORM = "lower(regexp_replace(x, '^[ \\t\\r\\f\\x0B]+|[ \\t\\r\\f\\x0B]+$', '', 'g'))"
 
+_SENTENCE = SENTENCE.replace("'", "''")
+_WORDS = f"CASE WHEN form = '' THEN 0 ELSE greatest(len(string_split(form, ' ')), len(form) // {WORD_CHARS}) END"
+_FORM = "trim(regexp_replace(lower(piece), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
+
 _SQL = {
+    "op1_substring_dedup": f"""
+WITH p AS (SELECT doc_id, pieces[i] AS piece, i, coalesce(pieces[i - 1], chr(10)) AS before FROM (SELECT doc_id, pieces, unnest(range(1, len(pieces) + 1)) AS i FROM (SELECT doc_id, list_filter(regexp_extract_all(text, '{_SENTENCE}'), lambda x: x <> '') AS pieces FROM documents))),
+f AS (SELECT *, {_FORM} AS form FROM p),
+g AS (SELECT *, sum(CASE WHEN before LIKE '%' || chr(10) OR {_WORDS} >= 5 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM f),
+u AS (SELECT doc_id, k, sum(len(piece)) AS chars, trim(coalesce(string_agg(form, ' ' ORDER BY i) FILTER (WHERE form <> ''), '')) AS form FROM g GROUP BY doc_id, k),
+w AS (SELECT *, {_WORDS} AS words, sum(chars) OVER (PARTITION BY doc_id ORDER BY k) - chars AS start FROM u),
+r AS (SELECT *, words >= 5 AND row_number() OVER (PARTITION BY form ORDER BY doc_id, k) > 1 AS again FROM w),
+b AS (SELECT *, sum(CASE WHEN words >= 5 AND NOT again THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM r),
+x AS (SELECT *, again AND sum(CASE WHEN again THEN words ELSE 0 END) OVER (PARTITION BY doc_id, run) >= 25 AS gone FROM b),
+t AS (SELECT *, sum(CASE WHEN gone = was THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY k) AS tile FROM (SELECT *, lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY k) AS was FROM x)),
+s AS (SELECT doc_id, string_agg(CAST(a AS VARCHAR) || '-' || CAST(e AS VARCHAR), ',' ORDER BY a) AS removed FROM (SELECT doc_id, tile, CAST(min(start) AS BIGINT) AS a, CAST(max(start + chars) AS BIGINT) AS e FROM t WHERE gone GROUP BY doc_id, tile) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_units, count_if(gone) AS n_removed, sum(CASE WHEN gone THEN words ELSE 0 END) AS removed_words, sum(CASE WHEN gone THEN chars ELSE 0 END) AS removed_chars FROM t GROUP BY doc_id),
+k AS (SELECT t.doc_id, string_agg(substr(text, CAST(start + 1 AS BIGINT), CAST(chars AS BIGINT)), '' ORDER BY k) AS text FROM t JOIN documents d ON d.doc_id = t.doc_id WHERE NOT gone GROUP BY t.doc_id)
+SELECT d.doc_id, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(removed_words, 0) AS BIGINT) AS removed_words, CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(removed, '') AS removed, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id""",
     "op5_ngram_jaccard_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 2], ' ') END AS sh FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM w WHERE len(ws) > 0))),

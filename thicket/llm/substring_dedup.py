@@ -1,4 +1,8 @@
-"""Substring dedup: units (lines or paragraphs) hashed, grouped over the corpus, all but the earliest occurrence removed."""
+"""Substring dedup: units of text hashed, grouped over the corpus, all but the earliest occurrence of a repeated passage removed.
+
+Units are lines or paragraphs. How a passage is wrapped into lines differs from copy to copy, and so does what stands before and after it
+in its first and last line; so lines are, by default, broken anew at the ends of sentences before they are hashed.
+"""
 
 from __future__ import annotations
 
@@ -8,73 +12,118 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, save
 
-#: Where units end, by kind.
-ENDS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
+#: Where units end, by kind; what follows a unit belongs to it, so that units tile the text. The first is written for RE2 as well.
+SENTENCE = r"[^\n]*?(?:[.!?…][\"'”’)\]»]*[ \t\r]+|[。！？]|\n|$)"
+ENDS = {"sentence": re.compile(SENTENCE.replace("$", r"\Z")), "line": re.compile(r"[^\n]*(?:\n|\Z)"), "paragraph": re.compile(r"(?s:.*?)(?:\n[ \t\r]*\n\s*|\Z)")}
+#: Fixed value: characters that count as a word at most, for scripts without spaces.
+WORD_CHARS = 12
 _APART = re.compile(r"[\W_]+")
 
 
-def units_of(text: str, unit: str = "line") -> list[tuple[int, int]]:
-    """[start, end) character offsets of the units, without what separates them."""
-    out, last = [], 0
-    for m in ENDS[unit].finditer(text):
-        out.append((last, m.start()))
-        last = m.end()
-    return [*out, (last, len(text))]
-
-
 def normal(unit: str) -> str:
-    """What units are compared by: lower case, runs of anything but letters and digits as one space."""
+    """What units are compared by: lower case, runs of anything but letters and digits (line breaks, too) as one space."""
     return _APART.sub(" ", unit.lower()).strip()
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "line", min_words: int = 10) -> DataFrame:
-    """docs -> (doc_id, n_units, n_removed, removed, kept, text), one row per row of `docs`.
+def n_words(form: str) -> int:
+    return max(form.count(" ") + 1, len(form) // WORD_CHARS) if form else 0
 
-    Units of at least `min_words` words are compared by the MD5 of their normal form. Of equal ones the earliest stays: the smallest doc_id, then
-    the first in its text; ties between rows that repeat an id go by their texts. removed, kept: [start, end) character offsets in the
-    original text; text: the kept units with what followed them there. Shorter units always stay. Null text: null text,
-    zero units. Null ids rank last. Rows equal in id and text are one document: each comes out alike. Empty table: no rows. Other columns are not read.
 
-    Scale: only (digest, rank) moves for the search, pre-aggregated by digest; the join back is by digest, whose hot keys Spark splits, and
-    only removed units of it go on to their documents.
+def units_of(text: str, unit: str = "sentence", min_words: int = 5) -> list[tuple[int, int, str, int]]:
+    """(start, end, normal form, words) of the units, which tile the text. A sentence of under `min_words` words belongs to the one before it in its line."""
+    out: list[tuple[int, int, str, int]] = []
+    fresh = True
+    for m in ENDS[unit].finditer(text):
+        start, end = m.span()
+        if start == end:
+            continue
+        form = normal(m[0])
+        words = n_words(form)
+        if unit == "sentence" and not fresh and words < min_words:
+            first, _, before, _ = out[-1]
+            form = f"{before} {form}".strip()
+            out[-1] = (first, end, form, n_words(form))
+        else:
+            out.append((start, end, form, words))
+        fresh = text[end - 1] == "\n"
+    return out
+
+
+def passages(units: list[tuple[int, int, str, int]], again: set[int], min_words: int, min_run: int) -> set[int]:
+    """Positions of the units to remove: those in `again` that, with those that follow one another, hold `min_run` words. Units too short to be compared
+    neither count nor end a run."""
+    gone: set[int] = set()
+    run: list[int] = []
+    held = 0
+    for k, (_, _, _, words) in enumerate([*units, (0, 0, "", min_words)]):
+        if k in again:
+            run.append(k)
+            held += words
+        elif words >= min_words:
+            if held >= min_run:
+                gone.update(run)
+            run, held = [], 0
+    return gone
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence", min_words: int = 5, min_run: int = 25) -> DataFrame:
+    """docs -> (doc_id, n_units, n_removed, removed_words, removed_chars, removed, kept, text), one row per row of `docs`.
+
+    unit: 'sentence' (lines, broken at the ends of sentences; a line break ends one, too), 'line' or 'paragraph' (line breaks in it fold to a space).
+    Units of at least `min_words` words are compared by the MD5 of their normal form; in text without spaces every 12 characters count as a word. Of
+    equal ones the earliest stays: the smallest doc_id, then the first in its text; ties between rows that repeat an id go by a hash of their texts.
+    The others go where units that repeat follow one another for at least `min_run` words: a passage. A sentence or a short line that repeats alone
+    stays (a boilerplate line is `line_dedup`'s). Every unit that goes has an equal one that stays. removed_words, removed_chars: how much went.
+    removed, kept: [start, end) character offsets in the original text, neighbours joined, which together tile it; text: the kept spans.
+    Null text: null text, zeros. Empty text: no units. Very long texts: one text's units are held at once, nothing is cut. Null ids rank last. Rows
+    equal in id and text are one document: each comes out alike. Empty table: no rows. Other columns are not read, whatever their names.
+
+    Scale: texts are parsed once and only (digest, rank) moves for the search, pre-aggregated by digest; the join back is by digest, whose hot keys
+    Spark splits, and only repeated units of it go on to their documents.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     base = base.withColumn("row", F.xxhash64("doc_id", "text"))
 
     def cut():
         def one(doc_id, text, row):
-            for k, (a, b) in enumerate(units_of(text, unit)):
-                form = normal(text[a:b])
-                if form.count(" ") + 1 >= min_words and form:
+            units = units_of(text, unit, min_words)
+            yield None, doc_id, row, len(units)
+            for k, (_, _, form, words) in enumerate(units):
+                if words >= min_words:
                     yield hashlib.md5(form.encode("utf-8", "surrogatepass")).digest(), doc_id, row, k
 
         return one
 
-    units = map_rows(base.where(F.col("text").isNotNull()), cut, "digest binary, doc_id bigint, row bigint, k int")
+    # k: the unit's position; without a digest, the number of the document's units.
+    units = save(map_rows(base.where(F.col("text").isNotNull()), cut, "digest binary, doc_id bigint, row bigint, k int"))
+    hashed = units.where("digest is not null")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "k")
-    firsts = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    again = units.join(firsts, "digest").where(~rank.eqNullSafe(F.col("first")))
-    lost = again.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("k")).alias("lost"))  # bounded by one text
-    joined = base.join(lost.withColumnRenamed("doc_id", "l_id").withColumnRenamed("row", "l_row"), F.col("row").eqNullSafe(F.col("l_row")) & F.col("doc_id").eqNullSafe(F.col("l_id")), "left")
+    firsts = hashed.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    again = hashed.join(firsts, "digest").where(~rank.eqNullSafe(F.col("first"))).select("digest", "doc_id", "row", "k")
+    told = again.unionByName(units.where("digest is null"))
+    told = told.groupBy(F.col("doc_id").alias("l_id"), F.col("row").alias("l_row")).agg(  # bounded by one text
+        F.max(F.when(F.col("digest").isNull(), F.col("k"))).alias("n_units"), F.collect_set(F.when(F.col("digest").isNotNull(), F.col("k"))).alias("again")
+    )
+    joined = base.join(told, F.col("row").eqNullSafe(F.col("l_row")) & F.col("doc_id").eqNullSafe(F.col("l_id")), "left")
 
     def rebuild():
-        def one(doc_id, text, lost):
-            if text is None:
-                yield doc_id, 0, 0, [], [], None
+        def spans(edges, length):
+            return [{"start": a, "end": b} for a, b in zip(edges, [*edges[1:], length], strict=True)]
+
+        def one(doc_id, text, n_units, again):
+            if not again:
+                yield doc_id, n_units or 0, 0, 0, 0, [], [{"start": 0, "end": len(text)}] if text else [], text
                 return
-            units, gone = units_of(text, unit), set(lost or ())
-            kept, removed, out = [], [], []
-            for k, (a, b) in enumerate(units):
-                if k in gone:
-                    removed.append({"start": a, "end": b})
-                else:
-                    kept.append({"start": a, "end": b})
-                    out.append(text[a : units[k + 1][0] if k + 1 < len(units) else len(text)])
-            yield doc_id, len(units), len(removed), removed, kept, "".join(out) if gone else text
+            units = units_of(text, unit, min_words)
+            gone = passages(units, set(again), min_words, min_run)
+            turns = [0, *(k for k in range(1, len(units)) if (k in gone) != (k - 1 in gone))]
+            tiles = [(k in gone, s) for k, s in zip(turns, spans([units[k][0] for k in turns], len(text)), strict=True)]
+            removed, kept = [s for lost, s in tiles if lost], [s for lost, s in tiles if not lost]
+            yield doc_id, len(units), len(gone), sum(units[k][3] for k in gone), sum(s["end"] - s["start"] for s in removed), removed, kept, "".join(text[s["start"] : s["end"]] for s in kept)
 
         return one
 
     span = "array<struct<start: int, end: int>>"
-    return map_rows(joined.select("doc_id", "text", "lost"), rebuild, f"doc_id bigint, n_units bigint, n_removed bigint, removed {span}, kept {span}, text string")
+    return map_rows(joined.select("doc_id", "text", "n_units", "again"), rebuild, f"doc_id bigint, n_units bigint, n_removed bigint, removed_words bigint, removed_chars bigint, removed {span}, kept {span}, text string")
