@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -23,9 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`; where that is unset, a folder of our own."""
+    """The folder that driver and executors share: `spark.checkpoint.dir`; where that is unset and all run in one process, a folder of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="thicket-")
         atexit.register(shutil.rmtree, found.removeprefix("file://"), ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", found)
@@ -49,6 +52,14 @@ def drop_saved(df: DataFrame) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """`name`, or the like, that is none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def arrow_schema(schema: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
