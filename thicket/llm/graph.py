@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_saved, save
+from .common import drop_saved, mix, save
+
+#: Codes that a task holds at most before it sends them.
+HELD = 1 << 19
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -45,13 +52,58 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def deal(sized: DataFrame, block: int) -> DataFrame:
-    """(node, family, size) -> (node, family, lo, hi, own), saved: the tasks (family, lo, hi) that compare the members of a family.
+class Roots(dict):
+    """Which nodes are in one component already."""
 
-    A family of total size up to `block` is one task. A larger one is cut by hash into blocks of about that size; each pair of blocks, and
-    each block with itself, is a task, so any two members meet once, and no task holds more than two blocks. own: the member's block.
-    """
-    blocks = sized.groupBy("family").agg(F.ceil(F.sum("size") / F.lit(block)).cast("int").alias("blocks"))
-    dealt = sized.select("node", "family").join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return save(dealt.select("node", "family", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own"))
+    def find(self, i: int) -> int:
+        while (up := self.setdefault(i, i)) != i:
+            self[i] = self[up]
+            i = self[i]
+        return i
+
+
+def sign(given: Iterable[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """(node, 64-bit codes) -> rows (code, a, b) for `meet`, pre-aggregated in the task: the first holder of a code here, b null; or, under any
+    code, a link of a later holder to it. A common code sends a row a task, and makes a star, not all pairs."""
+    held, owners, size = [], [], 0
+
+    def out() -> pa.RecordBatch:
+        code, node = np.concatenate(held), np.repeat(np.array(owners, np.int64), [len(c) for c in held])
+        order = np.lexsort((node, code))
+        code, node = code[order], node[order]
+        fresh = np.r_[True, code[1:] != code[:-1]]
+        hub = node[fresh][np.cumsum(fresh) - 1]
+        later = ~fresh & (node != hub)
+        links = np.unique(np.stack([node[later], hub[later]], 1), axis=0)
+        firsts = int(fresh.sum())
+        code = np.r_[code[fresh], mix(links[:, 0].astype(np.uint64))].view(np.int64)
+        b = pa.array(np.r_[np.zeros(firsts, np.int64), links[:, 1]], pa.int64(), mask=np.arange(len(code)) < firsts)
+        return pa.RecordBatch.from_pydict({"code": pa.array(code), "a": pa.array(np.r_[node[fresh], links[:, 0]], pa.int64()), "b": b})
+
+    for node, codes in given:
+        if len(codes):
+            held.append(codes)
+            owners.append(node)
+            size += len(codes)
+        if size >= HELD:
+            yield out()
+            held, owners, size = [], [], 0
+    if held:
+        yield out()
+
+
+def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (code, a, b) sorted by code, then a -> links (a, b) of the holders of a code to its smallest one."""
+    last, hub = None, None
+    for batch in batches:
+        code, a, b = (batch.column(i) for i in range(3))
+        linked = b.is_valid().to_numpy(zero_copy_only=False)
+        x, code = a.to_numpy()[~linked], code.to_numpy()[~linked]
+        y = np.empty(0, np.int64)
+        if len(x):
+            fresh = np.r_[code[0] != last, code[1:] != code[:-1]]
+            at = np.maximum.accumulate(np.where(fresh, np.arange(len(x)), -1))
+            y = np.where(at >= 0, x[at], hub if hub is not None else -1)
+            last, hub = code[-1], y[-1]
+        keep = x != y
+        yield pa.RecordBatch.from_pydict({"a": pa.array(np.r_[x[keep], a.to_numpy()[linked]]), "b": pa.array(np.r_[y[keep], b.drop_null().to_numpy()])})

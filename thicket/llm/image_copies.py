@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, mix, save
-from .graph import components
+from .graph import Roots, components, meet, sign
 
 #: Production parameters: longest side looked at, scales, radius of a patch, tables of 64 bits.
 SIDE, SCALES, RADIUS, TABLES = 256, (1.0, 0.75, 0.5), 8, 4
@@ -259,16 +259,6 @@ class Index:
         return seen[np.argsort(-count, kind="stable")]
 
 
-class Roots(dict):
-    """Which nodes are in one component already."""
-
-    def find(self, i: int) -> int:
-        while (up := self.setdefault(i, i)) != i:
-            self[i] = self[up]
-            i = self[i]
-        return i
-
-
 def link(held: list[tuple[int, np.ndarray, np.ndarray]], given: Iterable[tuple[int, np.ndarray, np.ndarray]], inside: Callable[[int], bool]) -> Iterator[tuple[int, int]]:
     """Links (a, b) between given and held images (node, bits, places) that are copies, spanning every component of these pairs.
 
@@ -327,52 +317,10 @@ def image_copies(images: DataFrame, id_col: str = "image_id", image_col: str = "
     def features(bits: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
         return np.frombuffer(bits, np.uint64).reshape(-1, 4), np.frombuffer(places, np.float32).reshape(-1, 4).astype(np.float64)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(code, a, b): the first holder of a code here, b null; or, under any code, a link of a later one to it."""
-        held, owners, size = [], [], 0
-
-        def out() -> pa.RecordBatch:
-            code, node = np.concatenate(held), np.repeat(np.array(owners, np.int64), [len(c) for c in held])
-            order = np.lexsort((node, code))
-            code, node = code[order], node[order]
-            fresh = np.r_[True, code[1:] != code[:-1]]
-            hub = node[fresh][np.cumsum(fresh) - 1]
-            links = np.unique(np.stack([node[~fresh], hub[~fresh]], 1), axis=0)
-            firsts = int(fresh.sum())
-            code = np.r_[code[fresh], mix(links[:, 0].astype(np.uint64))].view(np.int64)
-            b = pa.array(np.r_[np.zeros(firsts, np.int64), links[:, 1]], pa.int64(), mask=np.arange(len(code)) < firsts)
-            return pa.RecordBatch.from_pydict({"code": pa.array(code), "a": pa.array(np.r_[node[fresh], links[:, 0]], pa.int64()), "b": b})
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return sign((node, codes(np.frombuffer(bits, np.uint64).reshape(-1, 4))) for batch in batches for node, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True))
 
-        for batch in batches:
-            for node, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = codes(np.frombuffer(bits, np.uint64).reshape(-1, 4))
-                if len(found):
-                    held.append(found)
-                    owners.append(node)
-                    size += len(found)
-                if size >= 1 << 19:
-                    yield out()
-                    held, owners, size = [], [], 0
-        if held:
-            yield out()
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by code, then a -> links of the holders of a code to its smallest one."""
-        last, hub = None, None
-        for batch in batches:
-            code, a, b = (batch.column(i) for i in range(3))
-            linked = b.is_valid().to_numpy(zero_copy_only=False)
-            x, code = a.to_numpy()[~linked], code.to_numpy()[~linked]
-            y = np.empty(0, np.int64)
-            if len(x):
-                fresh = np.r_[code[0] != last, code[1:] != code[:-1]]
-                at = np.maximum.accumulate(np.where(fresh, np.arange(len(x)), -1))
-                y = np.where(at >= 0, x[at], hub if hub is not None else -1)
-                last, hub = code[-1], y[-1]
-            keep = x != y
-            yield pa.RecordBatch.from_pydict({"a": pa.array(np.r_[x[keep], a.to_numpy()[linked]]), "b": pa.array(np.r_[y[keep], b.drop_null().to_numpy()])})
-
-    sent = nodes.select("node", "bits").mapInArrow(sign, "code bigint, a bigint, b bigint").repartition("code").sortWithinPartitions("code", "a")
+    sent = nodes.select("node", "bits").mapInArrow(signed, "code bigint, a bigint, b bigint").repartition("code").sortWithinPartitions("code", "a")
     families = components(sent.mapInArrow(meet, "a bigint, b bigint").distinct()).withColumnRenamed("component", "family")
     families = families.join(nodes.groupBy("node").agg(F.sum("n_keypoints").alias("size")), "node")
     sizes = families.groupBy("family").agg(((F.count("*") > block_images) | (F.sum("size") > BLOCK_FEATURES)).alias("large"))

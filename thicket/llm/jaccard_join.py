@@ -1,15 +1,14 @@
 """N-gram Jaccard self-join: exact links at a Jaccard threshold over distinct word shingles, by T-occurrence search.
 
-1. One pass over the texts hashes every n-word shingle to 64 bits and forms the set's size and digest. Rows with
-   one digest are copies of one set: only the smallest doc_id of them goes on.
-2. Routing. Two sets at Jaccard >= t differ in at most (1-t)/(1+t) * (|x|+|y|) shingles. Dealing the shingle space into one part
-   more than that leaves at least one part on which they agree exactly, so each set emits one signature a
-   part; sets that share a signature, directly or through others, form a family. No linked pair is lost.
-   Families are then cut anew by prefix filter, under which common passages join nothing.
-3. Search. Families are dealt to tasks with their shingles and searched by DivideSkip (Li, Lu, Lu 2008): the longest inverted
-   lists are set aside, the short ones merged, and only sets that reach the remaining count
-   are probed in the long lists. A family still above `block_shingles` is dealt as pairs of blocks, which bounds a task's
-   memory and leaves no pair out.
+1. One pass over the texts hashes every n-word shingle to 64 bits, forms the set's size and digest, and counts shingles in a sketch of
+   fixed size. Sets with one digest are copies: only one node of them goes on.
+2. Routing by prefix filter. All shingles are put in one order, those that the sketch counts least first; two linked sets share one of their
+   first |x| - ceil(t * |x|) + 1. That holds for any order, so the sketch's errors lose no link; what many texts hold, a
+   common passage say, comes last and joins nothing. Sets of like size that share a prefix shingle, directly or through others, form a family.
+3. Search. A family's sets are indexed in inverted lists and searched by DivideSkip (Li, Lu, Lu 2008): the longest lists are set aside,
+   the short ones merged over a heap, and the sets that reach the remaining count looked up in the long lists by binary search.
+   A family above `block_shingles` is searched in rounds: each indexes a block of it and streams the whole family past the index.
+   What a round joins into the family's largest component needs no index of its own, so a large group of near copies takes few rounds.
 4. A pair already in one component is not probed again; the found links span every component.
 """
 
@@ -18,18 +17,22 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import map_rows, mix, save, window_hashes, word_hashes
-from .graph import components, deal
+from .common import arrow_schema, drop_saved, mix, save, window_hashes, word_hashes
+from .graph import Roots, components, meet, sign
 
-#: The weight of a binary probe against a merge step in DivideSkip; the least ratio of a band's largest to its smallest size.
-MU, BAND = 0.0085, 1.12
+#: Fixed value: the weight of a binary probe against a merge step in DivideSkip.
+MU = 0.0085
+#: Counters of the sketch and parts they travel in, whatever the input's size: they set the order of shingles, never the result.
+COUNTERS, PARTS = 1 << 22, 64
 
 
 def shingles(text: str | None, n: int = 3) -> np.ndarray:
@@ -45,200 +48,264 @@ def least_overlap(total: int, percent: int) -> int:
     return -(-percent * total // (100 + percent))
 
 
-def signatures(found: np.ndarray, percent: int) -> np.ndarray:
-    """64-bit signatures of which any two linked, unequal sets share one."""
+def codes(found: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
+    """64-bit codes of which any two linked sets share one: the first shingles of each in the common order, those without that no other set can hold.
+
+    Sizes are cut into bands so wide that linked sets are in one band or in neighbouring ones. A code tells the band of the larger set: a set gives
+    codes for its own band and, if it can have a larger partner there, for the next, of which it needs fewer.
+    """
     size = len(found)
-    ratio = max(BAND, 1.008 * 100 / percent)  # above the ratio of two linked sizes, so that these are in one band or in neighbouring ones
-    band = max(0, int(math.log(max(size, 1)) / math.log(ratio)) - 1)
+    rank = level[(found % np.uint64(len(level))).astype(np.int64)]
+    order = np.argsort(rank, kind="stable")
+    ratio = 1.008 * 100 / percent
+    band = max(0, int(math.log(size) / math.log(ratio)) - 1)
     while math.ceil(ratio ** (band + 1)) <= size:
         band += 1
     out = []
-    for b in (band, band + 1):
-        low, high = math.ceil(ratio**b), math.ceil(ratio ** (b + 1)) - 1
-        if b > band and 100 * size < percent * low:
-            break  # too small for any partner of the next band
-        parts = (100 - percent) * 2 * high // (100 + percent) + 1
-        if parts == 1:
-            continue  # only equal sets link
-        with np.errstate(over="ignore"):
-            part = (found % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            filled, first = np.unique(part[order], return_index=True)
-            sums = np.zeros(parts, np.uint64)
-            sums[filled] = np.add.reduceat(mix(found[order] ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first)
-            out.append(mix(sums + mix(np.arange(parts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(b + 1))))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
-
-
-def divide_skip(sets: list[np.ndarray], percent: int, split: int | None = None) -> list[tuple[int, int]]:
-    """Links (i, j) between positions of `sets` that span every component of the linked sets.
-
-    split: only sets before it are searched, and only for sets from it on (a pair of blocks).
-    """
-    sizes = np.array([len(s) for s in sets])
-    if not sizes.sum():
-        return []
-    shingle, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    order = np.lexsort((owner, shingle))
-    by, members = shingle[order], owner[order]
-    fresh = np.r_[True, by[1:] != by[:-1]]
-    starts = np.flatnonzero(fresh)
-    lengths = np.diff(np.r_[starts, len(by)])
-    list_of = np.empty(len(by), np.int64)
-    list_of[order] = np.cumsum(fresh) - 1
-    ends = np.cumsum(sizes)
-
-    root = list(range(len(sets)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    links = []
-    for x in range(split or 0, len(sets)):
-        n = int(sizes[x])
+    for b, least in ((band, -(-percent * size // 100)), (band + 1, math.ceil(ratio ** (band + 1)))):
+        if 100 * size >= percent * least:
+            first = order[: size - min(size, least_overlap(size + least, percent)) + 1]
+            out.append(mix(found[first][rank[first] > 1] ^ np.uint64((b + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)))
+    return np.concatenate(out)
+
+
+class Index:
+    """Inverted lists of the shingles of a bounded number of sets."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        shingle, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
+        order = np.lexsort((owner, shingle))
+        shingle, self.members = shingle[order], owner[order]
+        starts = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]]) if len(shingle) else np.empty(0, np.int64)
+        self.shingles, self.starts = shingle[starts], starts
+        self.lengths = np.diff(np.r_[starts, len(shingle)])
+        # Entries as (list, owner) in one sorted row: a list is probed for an owner by a binary search in it.
+        self.entries = np.repeat(np.arange(len(starts)), self.lengths) * len(sets) + self.members
+
+    def search(self, own: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """DivideSkip: (positions, whether they link) of the sets that may link to `own`, a bounded number at a time, likeliest first."""
+        n = len(own)
+        if not n or not len(self.shingles):
+            return
+        at = np.minimum(np.searchsorted(self.shingles, own), len(self.shingles) - 1)
+        lists = at[self.shingles[at] == own]
         need = least_overlap(n + -(-percent * n // 100), percent)
-        lists = list_of[ends[x] - n : ends[x]]
-        lists = lists[lengths[lists] > 1]
-        if n == 0 or len(lists) < need:
-            continue
-        lists = lists[np.argsort(lengths[lists], kind="stable")]
-        longest = int(lengths[lists[-1]])
-        n_long = min(need - 1, int(need / (MU * math.log2(longest) + 1)))
+        if len(lists) < need:
+            return
+        lists = lists[np.argsort(self.lengths[lists], kind="stable")]
+        n_long = min(need - 1, int(need / (MU * math.log2(max(2, self.lengths[lists[-1]])) + 1)))
         short, long = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
-        slices = [members[starts[i] : starts[i] + lengths[i]] for i in short]
-        if sum(map(len, slices)) <= 512:
-            merged = np.fromiter(heapq.merge(*(s.tolist() for s in slices)), np.int64)
-        else:
-            merged = np.sort(np.concatenate(slices), kind="stable")  # the same merge, run by run
-        seen, count = np.unique(merged, return_counts=True)
-        limit = x if split is None else split
-        keep = (count >= need - n_long) & (seen < limit) & (100 * sizes[seen] >= percent * n) & (100 * n >= percent * sizes[seen])
+        seen, count = _merged([self.members[self.starts[i] : self.starts[i] + self.lengths[i]] for i in short.tolist()])
+        size = self.sizes[seen]
+        keep = (count >= need - n_long) & (100 * size >= percent * n) & (100 * n >= percent * size)
         seen, count = seen[keep], count[keep]
-        probe = by[starts[long]]
-        probe.sort()
-        for k in np.argsort(-count, kind="stable"):
-            y = int(seen[k])
-            if find(y) == find(x):
-                continue
-            other = sets[y]
-            at = np.searchsorted(other, probe)
-            both = int(count[k]) + int((other[np.minimum(at, len(other) - 1)] == probe).sum())
-            if 100 * both >= percent * (n + len(other) - both):
-                links.append((x, y))
-                root[find(x)] = find(y)
-    return links
-
-
-def _by_prefix(texts: DataFrame, firsts: DataFrame, percent: int, n: int) -> DataFrame:
-    """(text), (digest, node) -> (node, component): families by prefix filter, of the sets that share a signature with another.
-
-    Each set goes by its own digest, so that an id with several texts has the prefix of each; its node may be in several families.
-
-    With all shingles in one order, rarest first, two linked sets share one of their first |x| - ceil(t * |x|) + 1. What many texts
-    hold, a common passage say, comes last in that order and joins nothing. Shingles of one set alone come first and are only counted.
-    """
-
-    def make():
-        def one(text):
-            found = shingles(text, n)
-            yield hashlib.md5(found.tobytes()).digest(), found.view(np.int64)
-
-        return one
-
-    sets = map_rows(texts.select("text"), make, "digest binary, found array<bigint>").select(F.xxhash64("digest").alias("node"), "found")
-    rows = sets.select("node", F.size("found").alias("n"), F.explode("found").alias("shingle"))
-    shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    common = save(rows.join(shared, "shingle"))
-    held = common.groupBy(F.col("node").alias("set")).agg(F.max("n").alias("n"), F.count("*").alias("shared"))
-    # Of the first shingles, those that other sets have too.
-    first = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1 - (F.col("n") - F.col("shared"))
-    open_sets = held.select("set", first.alias("take")).where("take > 0")
-    order = Window.partitionBy("node").orderBy("df", "shingle")  # a set's own shingles: bounded by its text
-    prefix = common.join(open_sets, F.col("node") == F.col("set")).withColumn("at", F.row_number().over(order)).where("at <= take").select("node", "shingle")
-    prefix = save(prefix)
-    hubs = prefix.groupBy("shingle").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("shingle", "hub")
-    found = components(prefix.join(hubs, "shingle").where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    return firsts.select(F.xxhash64("digest").alias("set"), F.col("node").alias("id")).join(found, F.col("set") == F.col("node")).select(F.col("id").alias("node"), "component").distinct()
-
-
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, n: int = 3, block_shingles: int = 2_000_000) -> DataFrame:
+        order = np.argsort(-count, kind="stable")
+        for lo in range(0, len(order), 32):
+            part = order[lo : lo + 32]
+            wanted = long[:, None] * len(self.sizes) + seen[part]
+            place = np.minimum(np.searchsorted(self.entries, wanted), len(self.entries) - 1)
+            both = count[part] + (self.entries[place] == wanted).sum(0)
+            yield seen[part], 100 * both >= percent * (n + self.sizes[seen[part]] - both)
+
+
+def _merged(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(members, on how many lists) of sorted lists: a heap gives the two shortest, which are merged and go back."""
+    heap = [(len(x), i, x) for i, x in enumerate(lists)]
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        _, i, a = heapq.heappop(heap)
+        _, _, b = heap[0]
+        heapq.heapreplace(heap, (len(a) + len(b), i, np.sort(np.concatenate((a, b)), kind="stable")))  # two sorted runs: one merge
+    return np.unique(heap[0][2], return_counts=True)
+
+
+def link(held: list[tuple[int, int, np.ndarray]], given: Iterable[tuple[int, int, np.ndarray]], percent: int) -> Iterator[tuple[int, int]]:
+    """Links between given and held sets (node, known component, shingles), spanning every component of these pairs."""
+    index, roots, inside = Index([x for _, _, x in held]), Roots(), {node for node, _, _ in held}
+    at = [(node, known) for node, known, _ in held]
+    for node, known, own in given:
+        both = node in inside
+        for seen, linked in index.search(own, percent):
+            for y in seen[linked].tolist():
+                other, its = at[y]
+                if other == node or both and other > node or its == known or roots.find(its) == roots.find(known):
+                    continue
+                roots[roots.find(known)] = roots.find(its)
+                yield node, other
+
+
+def pairs_of(found: Iterable[tuple[int, int]], most: int = 10_000) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[int, int]] = []
+    for pair in found:
+        held.append(pair)
+        if len(held) >= most:
+            yield _pairs(held)
+            held = []
+    yield _pairs(held)
+
+
+def _pairs(held: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in held], pa.int64()), "b": pa.array([b for _, b in held], pa.int64())})
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, n: int = 3, block_shingles: int = 1_000_000) -> DataFrame:
     """docs -> (doc_id, n_shingles, component_id), one row per row of `docs`; other columns are not read.
 
-    Words are what stands between ASCII white space, A-Z in lower case. Two rows link when
-    100 * |intersection| >= percent * |union| of their shingle sets. component_id: the smallest id reachable.
+    Words are what stands between ASCII white space, A-Z in lower case. Two rows link when 100 * |intersection| >= percent * |union| of their
+    shingle sets, each shingle as a 64-bit hash of its words. component_id: the smallest id reachable.
     Null or wordless text: n_shingles 0, links with nothing. Null id: null component_id, links nothing. Rows that repeat an
-    id are one node with the links of all its texts; each keeps a row. Equal texts (ties) take the smallest id. An empty table gives no rows.
+    id are one node with the links of all its texts; each keeps a row. Equal texts (ties) take the smallest id. Very long texts are one set as any
+    other, whole. An empty table gives no rows.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    base_type = StructType.fromDDL("doc_id bigint, n_shingles bigint, digest binary, part int, counts binary")
+    base_schema = arrow_schema(base_type)
 
-    def make():
-        def one(doc_id, text):
-            found = shingles(text, n)
-            digest = hashlib.md5(found.tobytes()).digest() if len(found) and doc_id is not None else None
-            yield doc_id, len(found), digest, signatures(found, percent).view(np.int64) if digest else None
-
-        return one
-
-    base = save(map_rows(docs, make, "doc_id bigint, n_shingles bigint, digest binary, sigs array<bigint>"))
-    # One node a set: the smallest id of its copies.
-    firsts = save(base.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node")))
-    nodes = base.join(firsts, (base.digest == firsts.digest) & (base.doc_id == firsts.node), "left_semi")
-    sent = nodes.select("doc_id", F.explode("sigs").alias("sig"))
-    shared = sent.groupBy("sig").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
-    families = components(sent.join(shared.select("sig", "hub"), "sig").where("doc_id > hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct())
-    families = families.withColumnRenamed("component", "family")
-    # The texts of all families, moved once, alike at every size: families grow with the input and are never broadcast to the texts.
-    held = save(docs.join(families.hint("merge"), docs.doc_id == families.node).select("family", "node", "text"))
-    sizes = firsts.join(base.select("digest", "n_shingles", F.col("doc_id").alias("node")), ["digest", "node"]).groupBy("node").agg(F.max("n_shingles").alias("size"))
-    closer = _by_prefix(held, firsts, percent, n)
-    sized = save(closer.withColumnRenamed("component", "family").join(sizes, "node").select("node", "family", "size"))
-    dealt = deal(sized, block_shingles)
-    keyed = held.select("node", "text").join(dealt, "node").select("family", "lo", "hi", "own", "node", "text")
-    together = keyed.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "own", "node")
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row a document and, at the end of a task, its sketch in parts."""
+        sketch, fresh, size = np.zeros(COUNTERS, np.uint32), [], 0
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, sets, inside = None, [], [], []
-        found_a: list[int] = []
-        found_b: list[int] = []
-
-        def end() -> None:
-            if len(ids) < 2:
-                return
-            order = sorted(range(len(ids)), key=lambda i: (inside[i] != key[1], len(sets[i]), ids[i]))
-            split = None if key[1] == key[2] else sum(b == key[1] for b in inside)
-            for x, y in divide_skip([sets[i] for i in order], percent, split):
-                found_a.append(ids[order[x]])
-                found_b.append(ids[order[y]])
-
-        def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_pydict({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
-            found_a.clear()
-            found_b.clear()
-            return made
+        def count() -> None:
+            nonlocal sketch, fresh, size
+            sketch += np.bincount(np.concatenate(fresh), minlength=COUNTERS).astype(np.uint32)
+            fresh, size = [], 0
 
+        def out(columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, base_schema, strict=True)], schema=base_schema)
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                rows = []
+                for doc_id, text in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True):
+                    found = shingles(text, n)
+                    known = len(found) and doc_id is not None
+                    if known:
+                        fresh.append((found % np.uint64(COUNTERS)).astype(np.int64))
+                        size += len(found)
+                        if size > COUNTERS // 4:
+                            count()
+                    rows.append((doc_id, len(found), hashlib.md5(found.tobytes()).digest() if known else None, None, None))
+                yield out(zip(*rows, strict=True))
+        if fresh:
+            count()
+        if sketch.any():
+            none = [None] * PARTS
+            yield out((none, none, none, range(PARTS), [zlib.compress(x.tobytes(), 1) for x in np.split(sketch, PARTS)]))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sums of the parts that a task is dealt, one at a time: they come sorted."""
+        now, total = None, None
+        for batch in batches:
+            for part, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts = np.frombuffer(zlib.decompress(counts), np.uint32)
+                if part != now and now is not None:
+                    yield pa.RecordBatch.from_pydict({"part": pa.array([now], pa.int32()), "level": pa.array([_level(total)], pa.binary())})
+                total = total + counts if part == now else counts.astype(np.uint64)
+                now = part
+        if now is not None:
+            yield pa.RecordBatch.from_pydict({"part": pa.array([now], pa.int32()), "level": pa.array([_level(total)], pa.binary())})
+
+    base = save(docs.mapInArrow(read, base_type))
+    rows = base.where("part is null").select("doc_id", "n_shingles", "digest")
+    levels = base.where("part is not null").select("part", "counts").repartition(PARTS, "part").sortWithinPartitions("part").mapInArrow(summed, "part int, level binary")
+    level = b"".join(r.level for r in sorted(levels.collect(), key=lambda r: r.part))  # COUNTERS bytes, or none
+    if not level:
+        return rows.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    order = spark.sparkContext.broadcast(level)
+    # One node a set: its digest's first 8 bytes or, should two digests share these, others.
+    firsts = save(rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("size")))
+    for at in range(9):
+        node_of = F.conv(F.hex(F.substring("digest", at + 1, 8)), 16, -10).cast("bigint")
+        nodes = firsts.select(node_of.alias("node"), "first", "size")
+        if nodes.groupBy("node").count().where("count > 1").isEmpty():
+            break
+
+    def node_in(found: np.ndarray) -> int:
+        return int.from_bytes(hashlib.md5(found.tobytes()).digest()[at : at + 8], "big", signed=True)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        known = np.frombuffer(order.value, np.uint8)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                for doc_id, text in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True):
+                    found = shingles(text, n)
+                    if len(found) and doc_id is not None:
+                        yield node_in(found), codes(found, known, percent)
+
+    sent = docs.mapInArrow(lambda batches: sign(coded(batches)), "code bigint, a bigint, b bigint").repartition("code").sortWithinPartitions("code", "a")
+    families = save(components(sent.mapInArrow(meet, "a bigint, b bigint").distinct()).withColumnRenamed("component", "family").join(nodes, "node"))
+    sizes = families.groupBy("family").agg((F.sum("size") > block_shingles).alias("large"))
+    families = save(families.join(sizes, "family").drop("size"))
+    # The texts of all families, one a set, moved once. Families grow with the input and are never broadcast to the texts.
+    held = save(docs.join(families.hint("merge"), docs.doc_id == families["first"]).select("family", "large", "node", "text"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(first column, node, shingles), of those texts of an id that are the node's."""
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                for family, low, high, block, node, text in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True):
-                    if (family, low, high) != key:
-                        end()
-                        key, ids, sets, inside = (family, low, high), [], [], []
-                        if len(found_a) > 10_000:
-                            yield out()
-                    ids.append(node)
-                    sets.append(shingles(text, n))
-                    inside.append(block)
-        end()
-        yield out()
-
-    links = together.mapInArrow(search, "a bigint, b bigint")
+                for key, node, text in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True):
+                    found = shingles(text, n)
+                    if node_in(found) == node:
+                        yield key, node, found
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple[int, int]]:
+            key, own = None, {}
+            for family, node, x in sets(batches):
+                if family != key:
+                    yield from inner(own)
+                    key, own = family, {}
+                own[node] = (node, node, x)
+            yield from inner(own)
+
+        def inner(own: dict) -> Iterator[tuple[int, int]]:
+            return link(list(own.values()), own.values(), percent) if len(own) > 1 else iter(())
+
+        return pairs_of(found())
+
+    small = held.where("not large").select("family", "node", "text").repartition("family").sortWithinPartitions("family", "node")
+    links = save(small.mapInArrow(search, "a bigint, b bigint"))
+    large = held.where("large").select("family", "node", "text")
+    todo = families.where("large").select("family", "node").join(nodes.select("node", "size"), "node")
+    state = save(todo.select("family", "node", "size", F.col("node").alias("component"), F.lit(True).alias("open")))
+    scratch = [base, firsts, families, held]
+    left = state.agg(F.sum("size")).first()[0] or 0
+    turn = 0
+    while left:
+        # The next block: by hash, of nodes not yet indexed that are outside their family's largest component.
+        turn += 1
+        blocks = -(-left // block_shingles)
+        dealt = state.withColumn("now", F.col("open") & (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(blocks)) == 0 if blocks > 1 else F.lit(True)))
+        texts = large.join(dealt.select("node", "component", "now"), "node").select("component", "node", "text", "now")
+        block = spark.sparkContext.broadcast([(r.component, r.node, r.text) for r in texts.where("now").collect()])  # some block_shingles
+
+        def across(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            indexed = {node: (node, known, x) for known, node, text in block.value if node_in(x := shingles(text, n)) == node}
+            return pairs_of(link(list(indexed.values()), ((node, known, x) for known, node, x in sets(batches)), percent)) if indexed else iter(())
+
+        links = links.unionByName(save(texts.select("component", "node", "text").mapInArrow(across, "a bigint, b bigint")))
+        block.destroy()
+        joined = components(links).withColumnRenamed("component", "joined")
+        after = dealt.join(joined, "node", "left").select("family", "node", "size", F.coalesce("joined", "node").alias("component"), (F.col("open") & ~F.col("now")).alias("open"))
+        largest = after.groupBy("family", "component").agg(F.count("*").alias("c")).groupBy("family").agg(F.max_by("component", F.struct("c", "component")).alias("most"))
+        after = save(after.join(largest, "family").withColumn("open", F.col("open") & (F.col("component") != F.col("most"))).drop("most"))
+        drop_saved(state)
+        state, left = after, after.where("open").agg(F.sum("size")).first()[0] or 0
     # Copies of one set go by its node; the nodes of an id that comes with several texts belong together.
-    reps = save(base.select("doc_id", "n_shingles", "digest").join(firsts, "digest", "left").drop("digest"))
-    several = reps.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    same = reps.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    reps = save(rows.join(firsts.select("digest", node_of.alias("node")), "digest", "left").select("doc_id", "n_shingles", "node"))
+    several = reps.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high and doc_id is not null")
+    same = reps.join(several, "doc_id").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
     joined = components(links.unionByName(same))
-    out = reps.join(joined, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id"))
-    return out
+    # A component's id: the smallest document id of its nodes.
+    whole = nodes.select("node", "first").join(joined, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    least = save(whole.join(whole.groupBy("c").agg(F.min("first").alias("component_id")), "c").select("node", "component_id"))
+    for x in scratch:
+        drop_saved(x)
+    return reps.join(least, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _level(counts: np.ndarray) -> bytes:
+    """0, 1, and from 2 on the logarithm of the count in eighths: 1 says that one set alone has the shingle."""
+    return np.where(counts < 2, counts, np.minimum(2 + 4 * np.log2(np.maximum(counts, 2) / 2), 255)).astype(np.uint8).tobytes()
