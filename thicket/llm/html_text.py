@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -33,15 +34,19 @@ ENDS = {
     "tfoot": ({"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
-#: What stops a search for the element that a tag ends.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+P_WALLS = frozenset("table td th button caption".split())
+#: End tags that no wall stops; what stops the search for the element that another one ends.
+ENDS_WALLS = frozenset("table tr thead tbody tfoot td th body html".split())
 WALLS = frozenset("table td th html".split())
 IN_HEAD = frozenset("base link meta script style title template noscript head html".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_VALUE = re.compile(r"=\s*[\"']|>")
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NONE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-#: Longest cell line that widens its column, and most columns a cell spans.
-ALIGN, SPAN = 40, 1000
+#: Fixed value of the markup language: most columns a cell spans.
+SPAN = 1000
 
 
 class Node:
@@ -51,73 +56,136 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs or {}, []
 
 
+class _Scan:
+    """Tags of a page, each character looked at a bounded number of times: what is searched for and not there is remembered."""
+
+    def __init__(self, html: str):
+        self.html, self.missing = html, {}
+
+    def find(self, what: str, at: int) -> int:
+        if self.missing.get(what, len(self.html) + 1) <= at:
+            return -1
+        found = self.html.find(what, at)
+        if found < 0:
+            self.missing[what] = min(at, self.missing.get(what, at))
+        return found
+
+    def tag(self, at: int) -> tuple[int, str, str, str] | None:
+        """(end, slash, name, attributes) of what opens with the '<' at `at`, name '' for comments and declarations; None where it is text."""
+        html = self.html
+        if html.startswith("<!--", at):
+            end = self.find("-->", at + 4)
+            return len(html) if end < 0 else end + 3, "", "", ""
+        if html[at + 1 : at + 2] in ("!", "?"):
+            end = self.find(">", at)
+            return None if end < 0 else (end + 1, "", "", "")
+        m = _TAG.match(html, at + 1)
+        if not m or self.find(">", m.end()) < 0:
+            return None
+        here = m.end()
+        while v := _VALUE.search(html, here):
+            if v[0] == ">":
+                return v.end(), m[1], m[2].lower(), html[m.end() : v.start()]
+            end = self.find(v[0][-1], v.end())
+            here = v.end() if end < 0 else end + 1  # a quote that never closes is a character
+        return None
+
+
+    def close(self, name: str, at: int) -> tuple[int, int]:
+        """Where the end tag of a raw element begins and ends; the page's end where there is none."""
+        if name not in self.missing:
+            for m in re.compile(rf"</{re.escape(name)}(?=[\\s/>])[^>]*>", re.I).finditer(self.html, at):
+                return m.span()
+            self.missing[name] = 0
+        return len(self.html), len(self.html)
+
+
+class _Open:
+    """The open elements: a stack that knows where each name lies on it, so that no search walks over it."""
+
+    def __init__(self, root: Node):
+        self.stack, self.at = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, i: int) -> None:
+        while len(self.stack) > i:
+            self.at[self.stack.pop().tag].pop()
+
+    def last(self, names) -> int:
+        """Where the innermost element of these names is; 0 for none."""
+        return max((self.at[x][-1] for x in names if self.at.get(x)), default=0)
+
+    def first_above(self, names, floor: int) -> int:
+        """Where the outermost element of these names above `floor` is; 0 for none."""
+        places = [self.at[x][k] for x in names if self.at.get(x) and (k := bisect_right(self.at[x], floor)) < len(self.at[x])]
+        return min(places, default=0)
+
+
 def parse(html: str) -> Node:
-    """The element tree. Unclosed and misnested tags end where their parents or successors imply it; text is unescaped."""
-    root = Node("#root")
-    stack = [root]
-
-    def text(piece: str) -> None:
-        if piece:
-            if stack[-1].tag in ("head", "#root") and piece.strip():
-                while stack[-1].tag == "head":
-                    stack.pop()
+    """The element tree. Unclosed and misnested tags end where their parents or successors imply it; text is unescaped. Time is linear in the page."""
+    root, scan = Node("#root"), _Scan(html)
+    open_ = _Open(root)
+    stack = open_.stack
+    plain = 0  # where text not yet added begins
+
+    def text(until: int) -> None:
+        if until > plain:
+            piece = unescape(html[plain:until])
+            if stack[-1].tag == "head" and piece.strip():
+                open_.cut(len(stack) - 1)
             stack[-1].children.append(piece)
 
-    def end(names: set | frozenset, walls: set | frozenset) -> None:
-        """End the outermost run of open elements in `names` above the nearest wall."""
-        cut = None
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in walls:
-                break
-            if stack[i].tag in names:
-                cut = i
-        if cut:
-            del stack[cut:]
-
     at = 0
-    while m := _TOKEN.search(html, at):
-        text(unescape(html[at : m.start()]))
-        at = m.end()
-        if not m[2]:
+    while (at := scan.find("<", at)) >= 0:
+        found = scan.tag(at)
+        if found is None:
+            at += 1
+            continue
+        text(at)
+        at, slash, tag, rest = found
+        plain = at
+        if not tag:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            if tag == "p" and not any(n.tag == "p" for n in stack):
+        if slash:
+            if tag == "p" and not open_.at.get("p"):
                 stack[-1].children.append(Node("p"))
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in WALLS and tag not in ("table", "tr", "thead", "tbody", "tfoot", "td", "th", "body", "html"):
-                    break
+            wall = 0 if tag in ENDS_WALLS else open_.last(WALLS - {tag})
+            if (own := open_.last((tag,))) > wall:
+                open_.cut(own)
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        if tag in ("html", "body") and open_.at.get(tag):
             continue
         if stack[-1].tag == "head" and tag not in IN_HEAD:
-            stack.pop()
-        if tag in ENDS:
-            end(*ENDS[tag])
-        if tag in CLOSES_P:
-            end({"p"}, {"table", "td", "th", "button", "caption"})
-        if tag in ("h1", "h2", "h3", "h4", "h5", "h6") and stack[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            stack.pop()
+            open_.cut(len(stack) - 1)
+        if tag in ENDS and (cut := open_.first_above(ENDS[tag][0], open_.last(ENDS[tag][1]))):
+            open_.cut(cut)
+        if tag in CLOSES_P and (cut := open_.first_above(("p",), open_.last(P_WALLS))):
+            open_.cut(cut)
+        if tag in HEADINGS and stack[-1].tag in HEADINGS:
+            open_.cut(len(stack) - 1)
         if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
             row = Node("tr")
             stack[-1].children.append(row)
-            stack.append(row)
-        attrs = {a[1].lower(): unescape(a[2] or a[3] or a[4] or "") for a in _ATTR.finditer(m[3])} if m[3] and not m[3].isspace() else {}
+            open_.push(row)
+        attrs: dict[str, str] = {}
+        if rest and not rest.isspace():
+            for a in _ATTR.finditer(rest):
+                attrs.setdefault(a[1].lower(), unescape(a[2] or a[3] or a[4] or ""))
         node = Node(tag, attrs)
         stack[-1].children.append(node)
-        if tag in VOID or (m[3].endswith("/") and tag in ("svg", "math", "path")):
+        if tag in VOID or (rest.endswith("/") and tag in ("svg", "math", "path")):
             continue
         if tag in RAW or tag in RCDATA:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|\Z", re.I).search(html, at)
-            body = html[at : close.start()]
+            close, end = scan.close(tag, at)
+            body = html[at:close]
             node.children.append(unescape(body) if tag in RCDATA else body)
-            at = close.end()
+            at = plain = end
             continue
-        stack.append(node)
-    text(unescape(html[at:]))
+        open_.push(node)
+    text(len(html))
     return root
 
 
@@ -137,8 +205,8 @@ class Box:
         self.lines: list[str] = []
         self.line: list[str] = []
         self.gap = 0  # blank lines owed before the next one
-        self.first: list[str] = []  # marker owed to the next line of a list item
-        self.indent = ""
+        self.first: list[tuple[int, str]] = []  # indent and marker owed to the next line of a list item
+        self.indent = 0
 
     def add(self, text: str, keep: bool = False) -> None:
         if keep:
@@ -163,10 +231,8 @@ class Box:
         if self.lines:
             self.lines += [""] * self.gap
         self.gap = 0
-        lead = self.indent
-        if self.first and text:
-            lead = self.first.pop()
-        self.lines.append((lead + text).rstrip() if text else "")
+        indent, mark = self.first.pop() if self.first and text else (self.indent, "")
+        self.lines.append((" " * indent + mark + text).rstrip() if text else "")
 
     def block(self, spaced: bool) -> None:
         self.end()
@@ -209,7 +275,7 @@ class Table:
         for row in self.rows:
             widths += [0] * (len(row) - len(widths))
             for i, cell in enumerate(row):
-                widths[i] = max([widths[i], *(len(x) for x in cell if len(x) <= ALIGN)])
+                widths[i] = max([widths[i], *map(len, cell)])
         out = []
         for row in self.rows:
             for k in range(max((len(c) for c in row), default=0)):
@@ -222,13 +288,17 @@ def render(root: Node) -> str:
     indent what is below them; cells stand in columns, two spaces apart; preformatted text keeps its spaces."""
     boxes, tables, lists = [Box()], [], []
     pre = 0
-    work: list[tuple[str, object]] = [("in", root)]
+    work: list[tuple[str, Node | str | int]] = [("in", root)]
     while work:
         step, node = work.pop()
         box = boxes[-1]
         if isinstance(node, str):
             box.add(node, pre > 0)
             continue
+        if isinstance(node, int):  # the indent of before
+            box.block(False)
+            box.indent, box.first = node, []
+            continue
         tag = node.tag
         if step == "in":
             if not visible(node):
@@ -254,28 +324,25 @@ def render(root: Node) -> str:
                 if tag == "table":
                     tables.append(Table())
                 elif tag in ("ul", "ol"):
-                    lists.append([tag, _number(node.attrs.get("start", ""), 1), box.indent])
+                    lists.append([tag, _number(node.attrs.get("start", ""), 1)])
                 elif tag == "li":
-                    kind = lists[-1] if lists else ["ul", 1, ""]
+                    kind = lists[-1] if lists else ["ul", 1]
                     if kind[0] == "ol":
                         kind[1] = _number(node.attrs.get("value", ""), kind[1])
                     mark = f"{kind[1]}. " if kind[0] == "ol" else "- "
                     kind[1] += 1
-                    box.first = [box.indent + mark]
-                    work.append(("indent", Node(box.indent)))
-                    box.indent += " " * len(mark)
+                    box.first = [(box.indent, mark)]
+                    work.append(("indent", box.indent))
+                    box.indent += len(mark)
                 elif tag in ("dd", "blockquote"):
-                    work.append(("indent", Node(box.indent)))
-                    box.indent += "    "
+                    work.append(("indent", box.indent))
+                    box.indent += 4
                 elif tag in ("pre", "textarea"):
                     pre += 1
             work.append(("out", node))
             if tag in ("li", "dd", "blockquote"):  # the indent is put back after the element's own end
                 work[-1], work[-2] = work[-2], work[-1]
             work.extend(("in", c) for c in reversed(node.children))
-        elif step == "indent":
-            box.block(False)
-            box.indent, box.first = tag, []
         elif tag in ("td", "th"):
             done = boxes.pop()
             done.end()
@@ -308,8 +375,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
     """pages -> (page_id, text, n_chars, n_lines), one row per row of `pages`.
 
     Null markup: null text, zeros. Empty or invisible pages: empty text, 0 lines. Broken markup never fails: what cannot be a tag is text.
-    Repeated rows each get a row, null ids stay. Empty table: no rows. Other columns are not read. Pages nested however deep are walked
-    without recursion; a cell line above 40 characters does not widen its column.
+    Repeated rows each get a row, null ids stay. Empty table: no rows. Other columns are not read, whatever their names. Very long pages take time in
+    proportion, and pages nested however deep are walked without recursion. A column is as wide as its longest cell line.
     """
 
     def make():

@@ -12,18 +12,20 @@ import re
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_rows, save
 
-#: Hashed trigrams; weight of a trigram against independence; pseudo-counts of channels and priors; most languages.
-BUCKETS, TEMPER, CHANNEL, PRIOR, MAX_LANGS = 1 << 16, 0.25, 0.5, 5.0, 64
+#: Hashed trigrams; weight of a trigram against independence; pseudo-counts of channels and priors.
+BUCKETS, TEMPER, CHANNEL, PRIOR = 1 << 16, 0.25, 0.5, 5.0
+#: Measured size up to which the hosts' priors are broadcast.
+BROADCAST_BYTES = 32 << 20
 _FOLD = np.arange(256, dtype=np.int64)
 _FOLD[65:91] += 32
 _FOLD[:65] = _FOLD[91:97] = _FOLD[123:128] = 32
 _DECLARED = re.compile(r"<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([a-zA-Z]{2,3})(?![a-zA-Z])", re.I)
-_UNSEEN = re.compile(r"<(script|style|nav|head|footer)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#\w]+;", re.S | re.I)
+_TAG = re.compile(r"<!--|<(/?)(script|style|nav|head|footer)(?=[\s/>])[^<>]*>?|<[^<>]*>?|&[#\w]+;", re.I)
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::\d*)?(?:/([a-zA-Z]{2})(?=[/?#]|$))?")
 
 
@@ -36,26 +38,51 @@ def trigrams(text: str | None) -> np.ndarray:
     return ((codes[:-2] << 16 | codes[1:-1] << 8 | codes[2:]) * 0x9E3779B1 & 0xFFFFFFFF) >> 16
 
 
+def shown(html: str) -> str:
+    """The markup's text without tags, comments and what is inside scripts, styles, navigation, head and footer, in one pass over it."""
+    out, at, inside = [], 0, None
+    for m in iter(lambda: _TAG.search(html, at), None):
+        if inside is None:
+            out.append(html[at : m.start()])
+        at = m.end()
+        if m[0] == "<!--":
+            if inside is None:
+                end = html.find("-->", at)
+                at = len(html) if end < 0 else end + 3
+        elif m[2]:
+            name = m[2].lower()
+            if m[1] and name == inside:
+                inside = None
+            elif not m[1] and inside is None:
+                inside = name
+    if inside is None:
+        out.append(html[at:])
+    return " ".join(out)
+
+
 def address(url: str | None) -> tuple[str | None, str | None, str | None]:
-    """(host, domain, suffix): the suffix is the top-level label, with the two letters that begin the path where there are."""
+    """(host, domain, suffix): the suffix is the top-level label, with the two letters that begin the path where there are. The domain is the last two
+    labels, three where both of these are short (co.uk)."""
     m = _HOST.match(url or "")
     if not m:
         return None, None, None
     host = m[1].lower().rstrip(".")
     labels = host.split(".")
     top = labels[-1] if re.fullmatch(r"[a-z]{2,24}", labels[-1]) else "?"
-    return host, ".".join(labels[-2:]), top + ("/" + m[2].lower() if m[2] else "")
+    last = 3 if len(labels) > 2 and len(labels[-1]) == 2 and len(labels[-2]) <= 3 else 2
+    return host, ".".join(labels[-last:]), top + ("/" + m[2].lower() if m[2] else "")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 250, max_chars: int = 20_000) -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities [BUCKETS, languages]) from a bounded sample: of each of the MAX_LANGS most frequent languages, the `per_lang`
-    rows with the smallest hash of their id, of those with crc32(id as text) mod 5 not 0 and at most `max_chars` characters. The bound is on training alone."""
+    """(languages, log probabilities [BUCKETS, languages]) from a bounded sample: of each language, the `per_lang` rows with the smallest hash of
+    their id, of those with crc32(id as text) mod 5 not 0 and at most `max_chars` characters. The bound is on training alone."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (F.length(text_col) <= max_chars) & (F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0))
-    langs = sorted(r[0] for r in known.groupBy(lang_col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang_col).limit(MAX_LANGS).collect())
+    langs = sorted(r[0] for r in known.select(lang_col).distinct().collect())  # the languages there are: a closed set of names
     if not langs:
         return ["und"], np.zeros((BUCKETS, 1), np.float32)
-    ids = [known.where(F.col(lang_col) == x).select(F.col(id_col).alias("k"), F.col(lang_col).alias("l")).orderBy(F.xxhash64("k"), "k").limit(per_lang) for x in langs]
-    picked = reduce(DataFrame.unionAll, ids)  # at most MAX_LANGS * per_lang narrow rows: the bound of this broadcast
+    first = Window.partitionBy("l").orderBy(F.xxhash64("k"), "k")  # Spark keeps a limit per group before the shuffle
+    narrow = known.select(F.col(id_col).alias("k"), F.col(lang_col).alias("l"))
+    picked = narrow.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).select("k", "l")  # per_lang narrow rows a language: the bound of this broadcast
 
     def make():
         def one(lang, text):
@@ -85,7 +112,7 @@ def evidence(rows: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
             if html is not None:
                 m = _DECLARED.search(html)
                 declared = m[1].lower() if m else None
-                text = _UNSEEN.sub(" ", html)
+                text = shown(html)
             grams = trigrams(text)
             if len(grams) < BUCKETS:
                 ll = known[grams].sum(0, dtype=np.float64)
@@ -129,7 +156,12 @@ def fuse(found: DataFrame, langs: list[str]) -> DataFrame:
     above = smooth([F.coalesce(c, F.lit(0.0)) for c in cols("s")], [F.lit(x) for x in glob])
     domains = domains.select("domain", *[c.alias(f"q{i}") for i, c in enumerate(smooth(cols("d"), above))])
     priors = hosts.join(domains, "domain", "left").select("host", *cols("h"), *[F.coalesce(F.col(f"q{i}"), F.lit(glob[i])).alias(f"q{i}") for i in range(n)])
-    priors = priors.groupBy("host").agg(*[F.sum(f"h{i}").alias(f"h{i}") for i in range(n)], *[F.first(f"q{i}").alias(f"q{i}") for i in range(n)])
+    priors = priors.groupBy("host").agg(*[F.sum(f"h{i}").alias(f"h{i}") for i in range(n)], *[F.avg(f"q{i}").alias(f"q{i}") for i in range(n)])  # a host that is a source and an address too: the mean of both
+
+    # A few numbers a host: broadcast at a measured size, so that a hot host's rows stay where they are; else Spark splits hot hosts.
+    priors = save(priors)
+    if priors.count() * (16 * n + 64) <= BROADCAST_BYTES:
+        priors = F.broadcast(priors)
 
     def channel(key: str, out: str) -> DataFrame:
         """P(value | language) by value: smoothed shares of the posterior sums."""
@@ -163,7 +195,8 @@ def language_id(docs: DataFrame, pages: DataFrame, model: tuple[list[str], np.nd
     All evidence that a row has is fused: a document has its text and its source as host; a page also its declared language and address.
     The lang column of documents trains the text model (on a bounded sample, a fifth of all ids held out) and is no evidence of a row.
     Null or letterless text: the other evidence decides, at last the corpus's prior. Null url, source or markup: that evidence is left out. Ties go to
-    the language first by name. Repeated rows each get a row. Empty tables: no rows. Other columns are not read.
+    the language first by name. Repeated rows each get a row. Very long texts are counted whole, markup is read in one pass. Without a language to learn
+    from every row is 'und'. Empty tables: no rows. Other columns are not read, whatever their names.
     """
     langs, table = model or train(docs)
     none = lambda t: F.lit(None).cast(t)

@@ -105,7 +105,7 @@ WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM d
 n AS (SELECT source, doc_id, unnest(list_distinct(list_transform(ls, lambda x: {_NORM}))) AS line FROM d),
 t AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
 g AS (SELECT source, line, count(*) AS c FROM n WHERE line <> '' GROUP BY source, line),
-b AS (SELECT g.source, list(g.line) AS lines FROM g JOIN t ON g.source = t.source WHERE c >= 5 AND c > 0.1 * pages GROUP BY g.source),
+b AS (SELECT g.source, list(g.line) AS lines FROM g JOIN t ON g.source = t.source WHERE c >= 2 AND c > 0.1 * pages GROUP BY g.source),
 k AS (SELECT d.doc_id, d.source, ls, CASE WHEN b.lines IS NULL THEN ls ELSE list_filter(ls, lambda x: NOT list_contains(b.lines, {_NORM})) END AS kept FROM d LEFT JOIN b ON d.source = b.source)
 SELECT doc_id, source, array_to_string(kept, chr(10)) AS text, len(kept) AS lines_kept, len(ls) - len(kept) AS lines_dropped FROM k""",
     "op7_benchmark_decontamination": rf"""

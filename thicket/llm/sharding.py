@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import save, unused
 
 #: Fixed value: usable bits of a key's hash, the first 15 hex digits of its MD5.
 BITS = 60
@@ -30,7 +30,8 @@ def _directory(rows: DataFrame, limit: int, total: int, label: str) -> tuple[Dat
         fits = sums.where((F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1))
         found = prefixes.select("cell", "depth", "prefix").join(fits, "prefix").groupBy("cell").agg(F.min_by(F.struct("prefix", "depth", "shard_bytes", "shard_rows"), "depth").alias("s"))
         at = inside.withColumn("cell", deep)
-        placed.append(at.join(found, "cell").select(*rows.columns, F.col("s.depth").cast("int").alias("depth"), F.concat(F.lit(label), F.substring(F.conv(F.col("s.prefix").cast("string"), 10, 2), 2, BITS + 1)).alias("shard"), "s.shard_bytes", "s.shard_rows"))
+        # By merge at every size: the cells grow with the input, and rows are narrow.
+        placed.append(at.join(found.hint("merge"), "cell").select(*rows.columns, F.col("s.depth").cast("int").alias("depth"), F.concat(F.lit(label), F.substring(F.conv(F.col("s.prefix").cast("string"), 10, 2), 2, BITS + 1)).alias("shard"), "s.shard_bytes", "s.shard_rows"))
         large = cells.where((F.col("b") > limit) & (F.col("r") > 1)).select("cell")
         if large.isEmpty():
             rest = None
@@ -52,12 +53,21 @@ def shard(docs: DataFrame, key: str = "doc_id", size_col: str = "text", limit: i
     on its next bit: a row's shard is the shortest prefix of its hash whose rows fit. `shard` is that prefix in 0 and 1, `depth` its length;
     '' is the whole table. n_bytes: UTF-8 length, 0 for null text. A null key hashes as the text '\\N'. Rows that share all bits (a
     repeated key) and exceed the limit together are told apart by a hash of their row number, as shards 'r<prefix>'. A single row above
-    the limit has a shard of its own, marked oversize. Empty table: no rows. Other columns are not read.
+    the limit, a very long text say, has a shard of its own, marked oversize. Empty table: no rows. Other columns are not read, whatever their names.
 
     Scale: sizes are summed by prefix before the shuffle, to a depth that follows from the total; only buckets still too large there are
-    summed deeper, so a run takes a few aggregations however many shards there are, and no text is shuffled.
+    summed deeper, so a run takes a few aggregations however many shards there are, and no text is shuffled. Rows meet their shards by a merge join.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.octet_length(F.col(size_col).cast("string")), F.lit(0)).cast("bigint").alias("n_bytes"))
+    rows = docs.select(F.col(key).alias("doc_id"), _size(size_col).alias("n_bytes"))
+    return _placed(rows, limit).select("doc_id", "n_bytes", "depth", "shard", "shard_bytes", "shard_rows", (F.col("shard_bytes") > limit).alias("oversize"))
+
+
+def _size(size_col: str) -> Column:
+    return F.coalesce(F.octet_length(F.col(size_col).cast("string")), F.lit(0)).cast("bigint")
+
+
+def _placed(rows: DataFrame, limit: int) -> DataFrame:
+    """Rows (doc_id, n_bytes, any others) with h, depth, shard, shard_bytes and shard_rows."""
     rows = rows.withColumn("h", _bits_of(F.col("doc_id")))
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     out, rest = _directory(rows, limit, total, "")
@@ -66,14 +76,16 @@ def shard(docs: DataFrame, key: str = "doc_id", size_col: str = "text", limit: i
         again, none = _directory(rest.withColumn("h", _bits_of(F.col("row"))), limit, rest.agg(F.sum("n_bytes")).first()[0], "r")
         assert none is None  # row numbers are unique
         out = out.unionByName(again.drop("row"))
-    return out.select("doc_id", "n_bytes", "depth", "shard", "shard_bytes", "shard_rows", (F.col("shard_bytes") > limit).alias("oversize"))
+    return out
 
 
 def write_shards(docs: DataFrame, path: str, key: str = "doc_id", size_col: str = "text", limit: int = 1 << 20) -> None:
-    """Write `docs` as Parquet, one folder `shard=<prefix>` a shard; the empty prefix is written as 'all'.
+    """Write `docs` as Parquet, one folder `shard=<prefix>` a shard; the empty prefix is written as 'all'. Every row is written once, whatever the
+    keys; columns of any name stay (where one is named shard, the folders are `shard_=<prefix>`). Nulls as in `shard`. Empty table: no folders.
 
-    Rows go to their shards by a join on the key, so keys must be unique here.
+    Whole rows move to their shards here, in one struct, as they must.
     """
-    placed = shard(docs, key, size_col, limit).select(F.col("doc_id").alias("_key"), F.when(F.col("shard") == "", "all").otherwise(F.col("shard")).alias("_shard"))
-    joined = docs.join(placed, docs[key].eqNullSafe(placed["_key"])).drop("_key").withColumnRenamed("_shard", "shard")
-    joined.repartition("shard").write.partitionBy("shard").parquet(path)
+    folder = unused("shard", docs.columns)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("whole"), F.col(key).alias("doc_id"), _size(size_col).alias("n_bytes"))
+    placed = _placed(rows, limit).select("whole", F.when(F.col("shard") == "", "all").otherwise(F.col("shard")).alias("to"))
+    placed.repartition("to").select("whole.*", F.col("to").alias(folder)).write.partitionBy(folder).parquet(path)
