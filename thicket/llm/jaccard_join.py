@@ -1,10 +1,11 @@
 """N-gram Jaccard self-join: exact links at a Jaccard threshold over distinct word shingles, by T-occurrence search.
 
-1. One pass over the texts hashes every n-word shingle to 64 bits, forms the set's size and digest, and counts shingles in a sketch of
-   fixed size. Sets with one digest are copies: only one node of them goes on.
-2. Routing by prefix filter. All shingles are put in one order, those that the sketch counts least first; two linked sets share one of their
-   first |x| - ceil(t * |x|) + 1. That holds for any order, so the sketch's errors lose no link; what many texts hold, a
-   common passage say, comes last and joins nothing. Sets of like size that share a prefix shingle, directly or through others, form a family.
+1. One pass over the texts hashes every n-word shingle to 64 bits and forms the set's size and digest. Sets with one digest are copies:
+   only one node of them goes on.
+2. Routing by prefix filter. All shingles are put in one order; two linked sets share one of their first |x| - ceil(t * |x|) + 1. That holds
+   for any order. Here a fixed part of all shingles, by hash, comes first, and among these the rarest: so frequencies are needed of that part
+   alone, and what many texts hold, a common passage say, comes last and joins nothing. Sets of like size that share a prefix shingle,
+   directly or through others, form a family.
 3. Search. A family's sets are indexed in inverted lists and searched by DivideSkip (Li, Lu, Lu 2008): the longest lists are set aside,
    the short ones merged over a heap, and the sets that reach the remaining count looked up in the long lists by binary search.
    A family above `block_shingles` is searched in rounds: each indexes a block of it and streams the whole family past the index.
@@ -17,22 +18,20 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
-import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from .common import arrow_schema, drop_saved, mix, save, window_hashes, word_hashes
-from .graph import Roots, components, meet, sign
+from .common import drop_saved, map_rows, mix, save, window_hashes, word_hashes
+from .graph import Roots, components
 
 #: Fixed value: the weight of a binary probe against a merge step in DivideSkip.
 MU = 0.0085
-#: Counters of the sketch and parts they travel in, whatever the input's size: they set the order of shingles, never the result.
-COUNTERS, PARTS = 1 << 22, 64
+#: Fixed value: how many times a prefix the part of the shingles is that comes first in the common order: it sets the work, never the result.
+FIRST = 2
 
 
 def shingles(text: str | None, n: int = 3) -> np.ndarray:
@@ -48,25 +47,30 @@ def least_overlap(total: int, percent: int) -> int:
     return -(-percent * total // (100 + percent))
 
 
-def codes(found: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
-    """64-bit codes of which any two linked sets share one: the first shingles of each in the common order, those without that no other set can hold.
+def bands(size: int, percent: int) -> list[tuple[int, int]]:
+    """(band, prefix length) of a set: the band of its size and, if it can have a larger partner there, the next, for which it needs fewer.
 
-    Sizes are cut into bands so wide that linked sets are in one band or in neighbouring ones. A code tells the band of the larger set: a set gives
-    codes for its own band and, if it can have a larger partner there, for the next, of which it needs fewer.
+    Bands are so wide that linked sets are in one or in neighbouring ones; two sets meet in the band of the larger one.
     """
-    size = len(found)
-    rank = level[(found % np.uint64(len(level))).astype(np.int64)]
-    order = np.argsort(rank, kind="stable")
     ratio = 1.008 * 100 / percent
     band = max(0, int(math.log(size) / math.log(ratio)) - 1)
     while math.ceil(ratio ** (band + 1)) <= size:
         band += 1
-    out = []
-    for b, least in ((band, -(-percent * size // 100)), (band + 1, math.ceil(ratio ** (band + 1)))):
-        if 100 * size >= percent * least:
-            first = order[: size - min(size, least_overlap(size + least, percent)) + 1]
-            out.append(mix(found[first][rank[first] > 1] ^ np.uint64((b + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)))
-    return np.concatenate(out)
+    both = ((band, -(-percent * size // 100)), (band + 1, math.ceil(ratio ** (band + 1))))
+    return [(b, size - min(size, least_overlap(size + least, percent)) + 1) for b, least in both if 100 * size >= percent * least]
+
+
+def split(found: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the shingles that come first in the common order, sorted by hash; codes of those after them that a set too poor in first ones needs).
+
+    A code is a shingle and a band.
+    """
+    mark = mix(found ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    order = np.argsort(mark, kind="stable")
+    n_first = int(np.searchsorted(mark[order], np.uint64(min(1.0, FIRST * (100 - percent) / 100) * 0xFFFFFFFF) << np.uint64(32)))
+    rest = order[n_first:]
+    more = [mix(found[rest[: max(0, length - n_first)]] ^ np.uint64((b + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) for b, length in bands(len(found), percent)]
+    return found[order[:n_first]], np.concatenate(more)
 
 
 class Index:
@@ -83,8 +87,8 @@ class Index:
         # Entries as (list, owner) in one sorted row: a list is probed for an owner by a binary search in it.
         self.entries = np.repeat(np.arange(len(starts)), self.lengths) * len(sets) + self.members
 
-    def search(self, own: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """DivideSkip: (positions, whether they link) of the sets that may link to `own`, a bounded number at a time, likeliest first."""
+    def search(self, own: np.ndarray, percent: int, wanted: Callable[[np.ndarray], np.ndarray] = lambda seen: np.ones(len(seen), bool)) -> Iterator[int]:
+        """DivideSkip: the positions of the sets that link to `own`, likeliest first. wanted: which of some positions are still to be probed."""
         n = len(own)
         if not n or not len(self.shingles):
             return
@@ -101,12 +105,15 @@ class Index:
         keep = (count >= need - n_long) & (100 * size >= percent * n) & (100 * n >= percent * size)
         seen, count = seen[keep], count[keep]
         order = np.argsort(-count, kind="stable")
-        for lo in range(0, len(order), 32):
-            part = order[lo : lo + 32]
-            wanted = long[:, None] * len(self.sizes) + seen[part]
-            place = np.minimum(np.searchsorted(self.entries, wanted), len(self.entries) - 1)
-            both = count[part] + (self.entries[place] == wanted).sum(0)
-            yield seen[part], 100 * both >= percent * (n + self.sizes[seen[part]] - both)
+        seen, count = seen[order], count[order]
+        while len(seen):
+            left = wanted(seen)
+            seen, count = seen[left], count[left]
+            part, many, seen, count = seen[:32], count[:32], seen[32:], count[32:]
+            probed = long[:, None] * len(self.sizes) + part
+            place = np.minimum(np.searchsorted(self.entries, probed), len(self.entries) - 1)
+            both = many + (self.entries[place] == probed).sum(0)
+            yield from part[100 * both >= percent * (n + self.sizes[part] - both)].tolist()
 
 
 def _merged(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -122,17 +129,21 @@ def _merged(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def link(held: list[tuple[int, int, np.ndarray]], given: Iterable[tuple[int, int, np.ndarray]], percent: int) -> Iterator[tuple[int, int]]:
     """Links between given and held sets (node, known component, shingles), spanning every component of these pairs."""
-    index, roots, inside = Index([x for _, _, x in held]), Roots(), {node for node, _, _ in held}
-    at = [(node, known) for node, known, _ in held]
+    index, roots = Index([x for _, _, x in held]), Roots()
+    nodes, joined = (np.array(x, np.int64) for x in zip(*[r[:2] for r in held], strict=True))  # joined: each held set's component by now
+    inside = set(nodes.tolist())
     for node, known, own in given:
-        both = node in inside
-        for seen, linked in index.search(own, percent):
-            for y in seen[linked].tolist():
-                other, its = at[y]
-                if other == node or both and other > node or its == known or roots.find(its) == roots.find(known):
-                    continue
-                roots[roots.find(known)] = roots.find(its)
-                yield node, other
+        below = node if node in inside else np.iinfo(np.int64).max  # of two held sets, the larger one asks
+
+        def wanted(seen: np.ndarray, node=node, known=known, below=below) -> np.ndarray:
+            return (joined[seen] != roots.find(known)) & (nodes[seen] < below) & (nodes[seen] != node)
+
+        for y in index.search(own, percent, wanted):
+            mine, its = roots.find(known), int(joined[y])
+            if mine != its:
+                roots[mine] = roots.find(its)
+                joined[joined == mine] = its
+                yield node, int(nodes[y])
 
 
 def pairs_of(found: Iterable[tuple[int, int]], most: int = 10_000) -> Iterator[pa.RecordBatch]:
@@ -149,6 +160,31 @@ def _pairs(held: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in held], pa.int64()), "b": pa.array([b for _, b in held], pa.int64())})
 
 
+def _families(sent: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(node, first, more) of each set, nodes (node, first, size, n_first) -> (family, node, first, size) of the sets that share a code with another."""
+    rows = sent.select("node", F.explode("first").alias("shingle"))
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    common = rows.join(shared, "shingle")
+
+    def banded():
+        def one(node, size, n_first):
+            for band, length in bands(size, percent):
+                yield node, band, n_first - min(length, n_first)
+
+        return one
+
+    spared = map_rows(nodes.select("node", "size", "n_first"), banded, "node bigint, band int, spared int")
+    # Counted from the end, where the commonest are: so shingles of one set alone, which come first of all, need not be there. Copies count once.
+    order = Window.partitionBy("node").orderBy(F.desc("df"), F.desc("shingle"))  # a set's own shingles: bounded by its text
+    ranked = common.select("node", "shingle", F.dense_rank().over(order).alias("at"))
+    prefix = ranked.join(spared, "node").where("at > spared").select("node", F.xxhash64("shingle", "band").alias("code"))
+    prefix = save(prefix.unionAll(sent.select("node", F.explode("more"))))
+    hubs = prefix.groupBy("code").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("code", "hub")
+    found = components(prefix.join(hubs, "code").where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    drop_saved(prefix)
+    return found.withColumnRenamed("component", "family").join(nodes.drop("n_first"), "node")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, n: int = 3, block_shingles: int = 1_000_000) -> DataFrame:
     """docs -> (doc_id, n_shingles, component_id), one row per row of `docs`; other columns are not read.
 
@@ -160,84 +196,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    base_type = StructType.fromDDL("doc_id bigint, n_shingles bigint, digest binary, part int, counts binary")
-    base_schema = arrow_schema(base_type)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row a document and, at the end of a task, its sketch in parts."""
-        sketch, fresh, size = np.zeros(COUNTERS, np.uint32), [], 0
+    def read():
+        seen: set[bytes] = set()  # the sets of one task: copies send their shingles once a task
 
-        def count() -> None:
-            nonlocal sketch, fresh, size
-            sketch += np.bincount(np.concatenate(fresh), minlength=COUNTERS).astype(np.uint32)
-            fresh, size = [], 0
+        def one(doc_id, text):
+            found = shingles(text, n)
+            if not len(found) or doc_id is None:
+                yield doc_id, len(found), 0, None, None, None
+                return
+            digest = hashlib.md5(found.tobytes()).digest()
+            first, more = split(found, percent)
+            yield doc_id, len(found), len(first), digest, *((None, None) if digest in seen else (first.view(np.int64), more.view(np.int64)))
+            seen.add(digest)
 
-        def out(columns) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, base_schema, strict=True)], schema=base_schema)
+        return one
 
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                rows = []
-                for doc_id, text in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True):
-                    found = shingles(text, n)
-                    known = len(found) and doc_id is not None
-                    if known:
-                        fresh.append((found % np.uint64(COUNTERS)).astype(np.int64))
-                        size += len(found)
-                        if size > COUNTERS // 4:
-                            count()
-                    rows.append((doc_id, len(found), hashlib.md5(found.tobytes()).digest() if known else None, None, None))
-                yield out(zip(*rows, strict=True))
-        if fresh:
-            count()
-        if sketch.any():
-            none = [None] * PARTS
-            yield out((none, none, none, range(PARTS), [zlib.compress(x.tobytes(), 1) for x in np.split(sketch, PARTS)]))
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The sums of the parts that a task is dealt, one at a time: they come sorted."""
-        now, total = None, None
-        for batch in batches:
-            for part, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                counts = np.frombuffer(zlib.decompress(counts), np.uint32)
-                if part != now and now is not None:
-                    yield pa.RecordBatch.from_pydict({"part": pa.array([now], pa.int32()), "level": pa.array([_level(total)], pa.binary())})
-                total = total + counts if part == now else counts.astype(np.uint64)
-                now = part
-        if now is not None:
-            yield pa.RecordBatch.from_pydict({"part": pa.array([now], pa.int32()), "level": pa.array([_level(total)], pa.binary())})
-
-    base = save(docs.mapInArrow(read, base_type))
-    rows = base.where("part is null").select("doc_id", "n_shingles", "digest")
-    levels = base.where("part is not null").select("part", "counts").repartition(PARTS, "part").sortWithinPartitions("part").mapInArrow(summed, "part int, level binary")
-    level = b"".join(r.level for r in sorted(levels.collect(), key=lambda r: r.part))  # COUNTERS bytes, or none
-    if not level:
-        return rows.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    order = spark.sparkContext.broadcast(level)
+    base = save(map_rows(docs, read, "doc_id bigint, n_shingles bigint, n_first int, digest binary, first array<bigint>, more array<bigint>"))
     # One node a set: its digest's first 8 bytes or, should two digests share these, others.
-    firsts = save(rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("size")))
+    firsts = save(base.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("size"), F.max("n_first").alias("n_first")))
     for at in range(9):
         node_of = F.conv(F.hex(F.substring("digest", at + 1, 8)), 16, -10).cast("bigint")
-        nodes = firsts.select(node_of.alias("node"), "first", "size")
+        nodes = firsts.select(node_of.alias("node"), "first", "size", "n_first")
         if nodes.groupBy("node").count().where("count > 1").isEmpty():
             break
 
     def node_in(found: np.ndarray) -> int:
         return int.from_bytes(hashlib.md5(found.tobytes()).digest()[at : at + 8], "big", signed=True)
 
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
-        known = np.frombuffer(order.value, np.uint8)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                for doc_id, text in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True):
-                    found = shingles(text, n)
-                    if len(found) and doc_id is not None:
-                        yield node_in(found), codes(found, known, percent)
-
-    sent = docs.mapInArrow(lambda batches: sign(coded(batches)), "code bigint, a bigint, b bigint").repartition("code").sortWithinPartitions("code", "a")
-    families = save(components(sent.mapInArrow(meet, "a bigint, b bigint").distinct()).withColumnRenamed("component", "family").join(nodes, "node"))
-    sizes = families.groupBy("family").agg((F.sum("size") > block_shingles).alias("large"))
-    families = save(families.join(sizes, "family").drop("size"))
+    families = save(_families(base.where("first is not null").select(node_of.alias("node"), "first", "more"), nodes, percent))
+    families = families.groupBy("family").agg((F.sum("size") > block_shingles).alias("large")).join(families, "family")
+    families = save(families.select("family", "large", "node", "first", "size"))
     # The texts of all families, one a set, moved once. Families grow with the input and are never broadcast to the texts.
     held = save(docs.join(families.hint("merge"), docs.doc_id == families["first"]).select("family", "large", "node", "text"))
 
@@ -268,8 +257,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     small = held.where("not large").select("family", "node", "text").repartition("family").sortWithinPartitions("family", "node")
     links = save(small.mapInArrow(search, "a bigint, b bigint"))
     large = held.where("large").select("family", "node", "text")
-    todo = families.where("large").select("family", "node").join(nodes.select("node", "size"), "node")
-    state = save(todo.select("family", "node", "size", F.col("node").alias("component"), F.lit(True).alias("open")))
+    state = save(families.where("large").select("family", "node", "size", F.col("node").alias("component"), F.lit(True).alias("open")))
     scratch = [base, firsts, families, held]
     left = state.agg(F.sum("size")).first()[0] or 0
     turn = 0
@@ -294,7 +282,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         drop_saved(state)
         state, left = after, after.where("open").agg(F.sum("size")).first()[0] or 0
     # Copies of one set go by its node; the nodes of an id that comes with several texts belong together.
-    reps = save(rows.join(firsts.select("digest", node_of.alias("node")), "digest", "left").select("doc_id", "n_shingles", "node"))
+    reps = save(base.join(firsts.select("digest", node_of.alias("node")), "digest", "left").select("doc_id", "n_shingles", "node"))
     several = reps.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high and doc_id is not null")
     same = reps.join(several, "doc_id").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
     joined = components(links.unionByName(same))
@@ -304,8 +292,3 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for x in scratch:
         drop_saved(x)
     return reps.join(least, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _level(counts: np.ndarray) -> bytes:
-    """0, 1, and from 2 on the logarithm of the count in eighths: 1 says that one set alone has the shingle."""
-    return np.where(counts < 2, counts, np.minimum(2 + 4 * np.log2(np.maximum(counts, 2) / 2), 255)).astype(np.uint8).tobytes()
