@@ -1,7 +1,9 @@
 """A corpus cleaned in five stages. Each takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of `docs`.
 
 The tables beside the documents (labels, benchmark) come from `sf_dir`; the tokenizer model from `thicket.llm.sp_tokenizer.model_for`.
-Null texts never fail a stage: the classifier decides on them as on empty texts.
+Null texts never fail a stage: the classifier decides on them as on empty texts, the other stages keep them. Repeated rows are decided alike, each; rows of
+one id and different texts each by its own text, but for the near-copy stage, which keeps or drops an id whole. Columns of any name pass
+through; of the others, n_chars alone follows the text. An empty table leaves every stage empty.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on more than a tenth of a source's documents go."""
-    return _sized(line_dedup(docs), docs.columns)
+    return _sized(line_dedup(docs, counts=False), docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
