@@ -175,7 +175,7 @@ jobs:
   - name: second
     kind: clash
     sources:
-      - {inline: "payload: [DOMAIN-SUFFIX,keep.example, 'DOMAIN,a.skip.example', '10.1.0.0/16']", filter: {exclude: [10.0.0.0/8]}}
+      - {inline: "payload: ['DOMAIN-SUFFIX,keep.example', 'DOMAIN,a.skip.example', '10.1.0.0/16']", filter: {exclude: [10.0.0.0/8]}}
       - {file: gone.txt, optional: true}
     filter: {exclude_from: [{file: state/first/intermediate.txt, format: domain}]}
     outputs: [{format: clash, path: second.yaml, timestamp: false}]

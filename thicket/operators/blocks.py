@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import prefixes as P
+from ..plans.scratch import hold
 
 KEYS = ("fam", "bits", "first", "last")
 #: Blocks of fewer bits are wide: there are under 2**17 of them, whatever the input.
@@ -35,7 +36,7 @@ def inside(rows: DataFrame, patterns: DataFrame, proper: bool = False) -> DataFr
 
 def dedupe(rows: DataFrame) -> DataFrame:
     """Distinct blocks, without those inside another."""
-    found = rows.select(*KEYS).distinct()
+    found = hold(rows.select(*KEYS).distinct())  # read on three sides, and its expressions are large
     return found.join(inside(found, found, proper=True), list(KEYS), "left_anti")
 
 
@@ -60,7 +61,7 @@ def aggregate(rows: DataFrame) -> DataFrame:
     Runs of adjacent blocks are found inside cells of CELL_BITS leading bits, which spreads the sort; what fills whole cells, and the
     wide blocks, at most 2**17 rows, are then merged by family.
     """
-    alone = dedupe(rows)
+    alone = hold(dedupe(rows))
     cell = F.substring("first", 1, CELL_BITS // 4)
     cells = _merged(alone.where(F.col("bits") >= CELL_BITS).withColumn("_cell", cell), "_cell")
     wide = alone.where(F.col("bits") < CELL_BITS).unionByName(cells.where(F.col("bits") == CELL_BITS))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hosts as H
+from ..plans.scratch import hold
 
 ORDER = ("src_idx", "pos")
 
@@ -32,13 +33,12 @@ def collapse(rows: DataFrame, host: str = "host") -> DataFrame:
 
 
 def exclude_suffix(rows: DataFrame, patterns: DataFrame, host: str = "host", pattern: str = "pattern") -> DataFrame:
-    """Without hosts that are, or are below, a pattern; patterns of one label count. Rows with a null host stay; equal rows come out once.
+    """Without hosts that are, or are below, a pattern; patterns of one label count. Rows with a null host stay, and equal rows each.
 
-    Rows ask for each of their suffixes and are put together again, so their plan runs once, not once for each side of an anti-join.
+    Distinct hosts ask for each of their suffixes; only those that a pattern has come back to the rows, which are made once.
     """
-    asked = rows.select("*", F.explode_outer(H.ancestors(F.col(host), 1, own=True)).alias("_a"))
-    known = patterns.select(F.col(pattern).alias("_a")).distinct().withColumn("_hit", F.lit(1))
-    return asked.join(known, "_a", "left").groupBy(*rows.columns).agg(F.max("_hit").alias("_hit")).where("_hit is null").drop("_hit")
+    rows = hold(rows)
+    return rows.join(under(rows.select(host).distinct(), patterns, host, pattern, own=True, least_labels=1), host, "left_anti").select(*rows.columns)
 
 
 def below_any(host: Column, patterns: list[str]) -> Column:

@@ -7,14 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import hosts as H
 from .functions import prefixes as P
 from .functions import rules as R
 from .functions import text as T
-from .operators import blocks, hosts
+from .operators import blocks, hosts, rules
 from .operators.filters import compile_patterns
 from .plans import render
 from .plans.jobs import domain_job, ip_job, mirror_job, rule_job, source_stats
@@ -216,6 +216,54 @@ def ip_parse(spark, sf_dir):
     return _nets(spark, sf_dir).select("k", P.cidr(P.parse(F.col("raw"))).alias("cidr"))
 
 
+# The same blocks in IPv6: the 32 bits of an address are the second half of 2001:db8:x:y::, written in capitals with leading zeros.
+CIDR6 = "'2001:db8:' || printf('%x', a // 65536) || CASE WHEN a % 65536 = 0 THEN '' ELSE ':' || printf('%x', a % 65536) END || '::/' || CAST(bits + 32 AS VARCHAR)"
+
+
+def _nets6(spark, sf_dir) -> DataFrame:
+    a = F.lit(167772160) + (F.col("o_orderkey") * 16) % 262144
+    group = lambda x: F.lpad(F.hex(x), 4, "0")
+    raw = F.concat(F.lit("2001:0DB8:"), group(F.shiftright(a, 16)), F.lit(":"), group(a % 65536), F.lit("::1/"), (54 + F.col("o_custkey") % 11).cast("string"))
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k"), raw.alias("raw"))
+
+
+def _net_blocks6(spark, sf_dir) -> DataFrame:
+    return _nets6(spark, sf_dir).select(P.parse(F.col("raw")).alias("b")).select("b.*")
+
+
+@_query(f"WITH {NETS} SELECT k, {CIDR6} AS cidr FROM n")
+def ip6_parse(spark, sf_dir):
+    return _nets6(spark, sf_dir).select("k", P.cidr(P.parse(F.col("raw"))).alias("cidr"))
+
+
+@_query(f"WITH {NETS}, {OUTER} SELECT {CIDR6} AS cidr FROM o")
+def ip6_dedupe(spark, sf_dir):
+    return blocks.dedupe(_net_blocks6(spark, sf_dir)).select(_cidr())
+
+
+@_query(f"WITH RECURSIVE {NETS}, {OUTER}, {MERGED}, z AS (SELECT a, CAST(32 - round(log2(size)) AS INT) AS bits FROM c) SELECT {CIDR6} AS cidr FROM z")
+def ip6_aggregate(spark, sf_dir):
+    return blocks.aggregate(_net_blocks6(spark, sf_dir)).select(_cidr())
+
+
+@_query(f"WITH {NETS} SELECT {CIDR6} AS cidr FROM d WHERE NOT (a >= 167772160 AND e <= 167772160 + 65536)")
+def ip6_exclude(spark, sf_dir):
+    patterns = spark.createDataFrame([("2001:db8:a00::/48",)], "s string").select(P.parse(F.col("s")).alias("b")).select("b.*")
+    return blocks.exclude(_net_blocks6(spark, sf_dir).distinct(), patterns).select(_cidr())
+
+
+@_query(f"WITH {NETS} SELECT row_number() OVER (ORDER BY a, bits) AS rank, {CIDR6} AS line FROM (SELECT DISTINCT a, bits FROM n)")
+def ip6_order(spark, sf_dir):
+    return hosts.ranked(_net_blocks6(spark, sf_dir).distinct(), *blocks.sort_keys()).select("rank", _cidr().alias("line"))
+
+
+@_query(f"WITH {NETS}, t AS (SELECT DISTINCT a, bits, CASE WHEN bits = 32 THEN {DOTTED} ELSE {CIDR} END AS shown FROM n) SELECT shown FROM t WHERE NOT regexp_matches(shown, '^10[.]1[.]|/30$')")
+def ip_exclude_regex(spark, sf_dir):
+    """Expressions meet a block's text, an address alone without its length."""
+    left = compile_patterns(spark, [r"/^10[.]1[.]/", "//30$/"]).blocks(_net_blocks(spark, sf_dir).distinct())
+    return left.select(P.text(F.struct(*blocks.KEYS)).alias("shown"))
+
+
 @_query(f"WITH {NETS} SELECT k, CASE WHEN bits = 32 THEN {DOTTED} ELSE {CIDR} END AS shown FROM n")
 def ip_format(spark, sf_dir):
     return _nets(spark, sf_dir).select("k", P.text(P.parse(F.col("raw"))).alias("shown"))
@@ -257,10 +305,82 @@ def _rule_items(spark, sf_dir) -> DataFrame:
     return _hosts(spark, sf_dir).select(F.lit(0).alias("src_idx"), "pos", F.lit("rule").alias("kind"), raw.alias("value"))
 
 
-@_query(f"WITH {RULES} SELECT pos, k < 5 AS valid, k = 3 AS scalar FROM v")
+@_query(f"""WITH {RULES} SELECT pos, k < 5 AS valid, k = 3 AS scalar,
+CASE k WHEN 0 THEN 'DOMAIN' WHEN 1 THEN 'DOMAIN-SUFFIX' WHEN 2 THEN 'IP-CIDR' WHEN 4 THEN 'DOMAIN-KEYWORD' ELSE '' END AS type,
+CASE k WHEN 0 THEN upper(host) WHEN 1 THEN host WHEN 2 THEN '10.' || b || '.7.7/16' WHEN 3 THEN '+.' || host WHEN 4 THEN string_split(host, '.')[1] ELSE '' END AS value,
+CASE k WHEN 1 THEN 'opt' WHEN 2 THEN 'no-resolve' ELSE '' END AS options FROM v""")
 def rule_parse(spark, sf_dir):
     rule = R.parse(F.col("value"))
-    return _rule_items(spark, sf_dir).select("pos", rule.isNotNull().alias("valid"), F.coalesce(rule["scalar"], F.lit(False)).alias("scalar"))
+    told = _rule_items(spark, sf_dir).select("pos", rule.alias("r"))
+    text = lambda c: F.coalesce(c, F.lit(""))
+    return told.select("pos", F.col("r").isNotNull().alias("valid"), F.coalesce("r.scalar", F.lit(False)).alias("scalar"), text(F.col("r.type")).alias("type"), text(F.col("r.value")).alias("value"), text(F.array_join("r.options", ",")).alias("options"))
+
+
+@_query(f"WITH {RULES} SELECT type || ',' || value || opts AS line FROM u WHERE NOT regexp_matches(type || ',' || value || opts, 'no-resolve$|^DOMAIN-KEYWORD,b') AND type || ',' || value <> 'DOMAIN,example.org' AND NOT (type IN ('DOMAIN', 'DOMAIN-SUFFIX') AND regexp_matches(value, 'no-resolve$|^DOMAIN-KEYWORD,b'))")
+def rule_exclude(spark, sf_dir):
+    """Expressions on rules' text with options, and an exact rule."""
+    items = _rule_items(spark, sf_dir).select("src_idx", "pos", R.of_item(F.col("kind"), F.col("value"), F.lit(False)).alias("rule")).where("rule is not null")
+    left = compile_patterns(spark, ["/no-resolve$|^DOMAIN-KEYWORD,b/", "=DOMAIN,example.org"]).canonical_rules(rules.distinct(items))
+    return left.select(R.text(F.col("rule")).alias("line"))
+
+
+def _rule_lines(spark, sf_dir) -> DataFrame:
+    return _rule_items(spark, sf_dir).select("pos", R.canonical(R.parse(F.col("value"))).alias("r")).where("r is not null").select("pos", R.text(F.col("r")).alias("line"), "r.type")
+
+
+def _rule_render(name: str, behavior: str, kinds: tuple[str, ...], sql: str) -> None:
+    def query(spark, sf_dir):
+        return render.rendered(_rule_lines(spark, sf_dir).where(F.col("type").isin(*kinds)), "clash", "clash", behavior).select("pos", "out")
+
+    query.__name__ = f"render_rules_{name}"
+    _query(f"WITH {RULES} SELECT pos, {sql} AS out FROM t WHERE type IN ({', '.join(map(repr, kinds))})")(query)
+
+
+_rule_render("classical", "classical", ("DOMAIN", "DOMAIN-SUFFIX", "IP-CIDR", "DOMAIN-KEYWORD"), "'  - ' || type || ',' || value || opts")
+_rule_render("domain", "domain", ("DOMAIN", "DOMAIN-SUFFIX"), "'  - ' || chr(39) || CASE type WHEN 'DOMAIN' THEN '' ELSE '+.' END || value || chr(39)")
+_rule_render("ipcidr", "ipcidr", ("IP-CIDR",), "'  - ' || chr(39) || value || chr(39)")
+
+
+PAYLOADS = "SELECT page_id AS src_idx, string_split(regexp_replace(host, '^www[.]', ''), '.') AS ls FROM (SELECT page_id, regexp_extract(lower(url), '://([^/?:]+)', 1) AS host FROM pages)"
+
+
+@_query(f"SELECT src_idx, pos, 'rule' AS kind, value FROM (SELECT src_idx, CAST(0 AS BIGINT) AS pos, 'DOMAIN,' || ls[1] || '.yes' AS value FROM ({PAYLOADS}) UNION ALL SELECT src_idx, 1, '1.10' FROM ({PAYLOADS}) UNION ALL SELECT src_idx, 2, ls[1] FROM ({PAYLOADS}))")
+def fmt_clash(spark, sf_dir):
+    """YAML bodies, one a page: strings stay as written, blanks go."""
+    label = F.split(F.regexp_replace("host", r"\Awww\.", ""), r"\.")[0]
+    bodies = _hosts(spark, sf_dir).select(F.col("pos").alias("src_idx"), F.concat(F.lit("payload:\n  - 'DOMAIN,"), label, F.lit(".yes'\n  - 1.10\n  - ''\n  - \""), label, F.lit(" \"\n")).alias("body"))
+    found = formats.items(bodies, "clash")
+    order = Window.partitionBy("src_idx").orderBy("pos")
+    return found.select("src_idx", (F.row_number().over(order) - 1).cast("bigint").alias("pos"), "kind", "value")
+
+
+@_query(f"WITH {HOSTS} SELECT pos AS src_idx, CAST(i AS BIGINT) AS n, 'domain' AS kind, v AS value FROM (SELECT pos, host, unnest(range(0, 2)) AS i, unnest([host, 'b.' || host]) AS v FROM h WHERE pos % 3 < 2)")
+def items_auto(spark, sf_dir):
+    """Bodies of a few lines in hosts or adblock syntax, told apart by detection; others hold comments alone."""
+    h, k = F.col("host"), F.col("pos") % 3
+    body = (
+        F.when(k == 0, F.concat(F.lit("\ufeff# list\n0.0.0.0 "), h, F.lit(" localhost\n\n::1 b."), h))
+        .when(k == 1, F.concat(F.lit("! list\n||"), h, F.lit("^\n@@||x.y^\n||b."), h, F.lit("^$important")))
+        .otherwise("# nothing\n! here")
+    )
+    found = formats.items(_hosts(spark, sf_dir).select(F.col("pos").alias("src_idx"), body.alias("body")))
+    order = Window.partitionBy("src_idx").orderBy("pos")
+    return found.select("src_idx", (F.row_number().over(order) - 1).cast("bigint").alias("n"), "kind", "value")
+
+
+@_query(f"WITH {HOSTS} SELECT pos, CASE WHEN pos % 2 = 0 THEN host || chr(10) || 'b.' || host ELSE to_base64(encode(host || 'xxxxxxxxxxxx')) END AS body FROM h")
+def base64_sniff(spark, sf_dir):
+    """Lines in base64 are decoded; what only looks like base64 (no line break inside) stays."""
+    lines = F.concat("host", F.lit("\nb."), "host")
+    body = F.when(F.col("pos") % 2 == 0, F.base64(lines.cast("binary"))).otherwise(F.base64(F.concat("host", F.lit("xxxxxxxxxxxx")).cast("binary")))
+    return _hosts(spark, sf_dir).select("pos", T.decode(body, "auto").alias("body"))
+
+
+@_query(f"WITH {HOSTS} SELECT pos, 'xn--mnchen-3ya.' || host AS host FROM h")
+def host_idna(spark, sf_dir):
+    """Hosts with letters beyond ASCII, capitals among them, in punycode."""
+    raw = F.concat(F.when(F.col("pos") % 2 == 0, "MÜNCHEN.").otherwise("münchen."), F.col("host"))
+    return _hosts(spark, sf_dir).select("pos", H.normalize(H.to_ascii(raw)).alias("host"))
 
 
 @_query(f"WITH {RULES} SELECT pos, type || ',' || value || opts AS line FROM t")
@@ -271,18 +391,18 @@ def rule_canonical(spark, sf_dir):
 @_query(f"WITH {RULES} SELECT row_number() OVER (ORDER BY grp, pos) AS rank, type || ',' || value || opts AS line FROM g")
 def job_rules(spark, sf_dir):
     """Distinct, collapsed and grouped: the whole rule job in source order."""
-    return rule_job(_rule_items(spark, sf_dir), idna=False).ranked()
+    return rule_job(_rule_items(spark, sf_dir)).ranked()
 
 
 @_query(f"WITH {RULES} SELECT row_number() OVER (ORDER BY grp, CASE WHEN type IN ('DOMAIN', 'DOMAIN-SUFFIX') THEN array_to_string(list_reverse(string_split(value, '.')), '.') WHEN type = 'IP-CIDR' THEN lpad(string_split(value, '.')[2], 3, '0') ELSE value END) AS rank, type || ',' || value || opts AS line FROM g")
 def job_rules_sorted(spark, sf_dir):
-    return rule_job(_rule_items(spark, sf_dir), order="sorted", idna=False).ranked()
+    return rule_job(_rule_items(spark, sf_dir), order="sorted").ranked()
 
 
 @_query(f"WITH {RULES} SELECT row_number() OVER (ORDER BY pos) AS rank, raw AS line FROM v WHERE k < 5 AND NOT (k IN (0, 1, 3) AND (host = 'example.org' OR host LIKE '%.example.org')) AND NOT (k = 2 AND b = '2')")
 def job_mirror(spark, sf_dir):
     """Rules as written, without what a suffix and an address pattern exclude."""
-    return mirror_job(_rule_items(spark, sf_dir), compile_patterns(spark, ["example.org", "10.2.0.0/16"]), idna=False).ranked()
+    return mirror_job(_rule_items(spark, sf_dir), compile_patterns(spark, ["example.org", "10.2.0.0/16"])).ranked()
 
 
 # -- whole jobs ------------------------------------------------------------------------------------------------------------------
@@ -327,6 +447,18 @@ def job_ip(spark, sf_dir):
     return ip_job(items).ranked()
 
 
+def _ip_render(name: str, format: str, sql: str) -> None:
+    def query(spark, sf_dir):
+        return render.rendered(job_ip(spark, sf_dir), format, "ip").select("rank", "out")
+
+    query.__name__ = f"render_{name}"
+    _query(f"WITH RECURSIVE {NETS}, {OUTER}, {MERGED}, z AS (SELECT a, CAST(32 - round(log2(size)) AS INT) AS bits FROM c) SELECT row_number() OVER (ORDER BY a) AS rank, {sql} AS out FROM z")(query)
+
+
+_ip_render("iplist", "iplist", f"CASE WHEN bits = 32 THEN {DOTTED} ELSE {CIDR} END")
+_ip_render("clash_ip_classical", "clash", f"'  - IP-CIDR,' || {CIDR} || ',no-resolve'")
+
+
 @_query(f"WITH RECURSIVE {NETS}, {OUTER}, {MERGED}, z AS (SELECT a, CAST(32 - round(log2(size)) AS INT) AS bits FROM c) SELECT row_number() OVER (ORDER BY a) AS rank, '  - ''' || {CIDR} || '''' AS out FROM z")
 def render_clash_ipcidr(spark, sf_dir):
     return render.rendered(job_ip(spark, sf_dir), "clash", "ip", "ipcidr").select("rank", "out")
@@ -334,4 +466,4 @@ def render_clash_ipcidr(spark, sf_dir):
 
 @_query(f"WITH {RULES} SELECT CAST(0 AS INT) AS src_idx, count_if(k < 5) AS valid, count_if(k = 5) AS invalid, CAST(0 AS BIGINT) AS excluded FROM v")
 def source_counts(spark, sf_dir):
-    return source_stats(rule_job(_rule_items(spark, sf_dir), idna=False)).select("src_idx", "valid", "invalid", "excluded")
+    return source_stats(rule_job(_rule_items(spark, sf_dir))).select("src_idx", "valid", "invalid", "excluded")

@@ -229,7 +229,7 @@ def items(bodies: DataFrame, formats: dict[int, str] | str | None = None) -> Dat
             kind = F.when(F.col("format") == f.name, f.kind).otherwise(kind)
             found = F.when(F.col("format") == f.name, f.line(F.col("line"))).otherwise(found)
         rows = lines.where(F.col("format").isin([f.name for f in by_line])).select("src_idx", "pos", kind.alias("kind"), F.posexplode(found).alias("k", "value"))
-        out = rows.where("value <> ''").select("src_idx", (F.col("pos") * 65536 + F.col("k")).alias("pos"), "kind", "value")
+        out = rows.where("value <> ''").select("src_idx", (F.shiftleft("pos", 31) + F.col("k")).alias("pos"), "kind", "value")
     for f in by_body:
         found = bodies.where((F.col("format") == f.name) & F.col("body").isNotNull()).select("src_idx", f.body(F.col("body")).alias("found"))
         whole = found.select("src_idx", F.posexplode_outer(F.coalesce("found", F.array(F.lit("malformed body")))).alias("pos", "value"), F.when(F.col("found").isNull(), "error").otherwise(f.kind).alias("kind"))
