@@ -371,45 +371,33 @@ def test_image_copies(spark):
     assert got == {**{i: i for i in range(12)}, 20: 3, 21: 4, 22: 5, 23: 6, 30: 30, 31: 31, 32: 32}
 
 
-def test_image_signatures_meet_within_the_accepted_distance():
-    rng = np.random.default_rng(3)
-    for flips, least in ((5, 0.6), (8, 0.25)):
-        met = 0
-        for _ in range(400):
-            bits = rng.integers(0, 256, 32, np.uint8)
-            other = np.unpackbits(bits)
-            other[rng.choice(256, flips, False)] ^= 1
-            met += bool(len(np.intersect1d(I.codes(bits.view(np.uint64)[None]), I.codes(np.packbits(other).view(np.uint64)[None]))))
-        assert met / 400 > least
-
-
-@pytest.mark.parametrize("block", [2000, 20])
+@pytest.mark.parametrize("block", [I.BLOCK_FEATURES, 4000])
 def test_image_copies_against_all_pairs(spark, block):
-    """A family that unrelated images join, searched whole and in passes: the same as brute force over the pairs that share a signature."""
+    """Near vectors, copies and unrelated images, at once and in passes: links found among those that brute force accepts, and no others."""
     rng = np.random.default_rng(11)
-    vectors = [rng.normal(size=64) for _ in range(60)]
-    vectors += [v + rng.normal(0, 0.08, 64) for v in vectors[:20]]
-    rows = [(100 - i, I.picture(list(v))) for i, v in enumerate(vectors)]
-    known = sorted((i, *I.describe(I.decode(data))) for i, data in rows)
-    own = {i: set(I.codes(bits).tolist()) for i, bits, _ in known}
+    vectors = [v / np.linalg.norm(v) for v in rng.normal(size=(50, 64))]
+    for cosine in (0.99, 0.98):
+        for v in vectors[:20]:
+            r = rng.normal(size=64)
+            r -= r @ v * v
+            vectors.append(cosine * v + (1 - cosine * cosine) ** 0.5 * r / np.linalg.norm(r))
+    rows = [(1000 - i, I.picture(list(v))) for i, v in enumerate(vectors)] + [(5, None), (6, b"junk"), (2000, I.picture(list(vectors[49]))), (2000, I.picture(list(vectors[48])))]
+    known = [(i, *I.describe(I.decode(data))) for i, data in rows[: len(vectors)]]
+    accepted = {(a[0], b[0]) for a in known for b in known if a[0] < b[0] and I.copies(*b[1:], *a[1:]) >= I.LEAST_INLIERS}
+    got = I.image_copies(spark.createDataFrame([(*r, "x") for r in rows], "image_id bigint, image binary, digest string"), block_features=block).collect()
+    assert len(got) == len(rows)
+    of = {r.image_id: r.class_id for r in got if r.image_id != 2000}
+    assert len(accepted) >= 35 and np.mean([of[a] == of[b] for a, b in accepted]) >= 0.9
     root = {i: i for i, _ in rows}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for b, *y in known:
-        for a, *x in known:
-            if a < b and own[a] & own[b] and I.copies(*y, *x) >= I.LEAST_INLIERS:
-                low, high = sorted((find(a), find(b)))
-                root[high] = low
-    got = {r.image_id: r.class_id for r in I.image_copies(spark.createDataFrame(rows, "image_id bigint, image binary"), block_images=block).collect()}
-    assert got == {i: find(i) for i in root} and sum(got[100 - 60 - k] == got[100 - k] for k in range(20)) >= 15
+    for a, b in sorted(accepted):  # brute force's classes hold what was found
+        low, high = sorted((root[a], root[b]))
+        root = {i: low if r == high else r for i, r in root.items()}
+    assert all(root[i] == root[c] for i, c in of.items() if i > 100) and of[5] == 5 and of[6] == 6
+    assert sorted(r.class_id for r in got if r.image_id == 2000) == sorted({of[1000 - 49], of[1000 - 48]})  # each row by its own pixels
 
 
-def test_image_crops_and_resizes_are_recalled():
-    """Against brute force: what all pairs of descriptors accept also shares a signature; unrelated images are not accepted."""
+def test_image_edits_are_recalled():
+    """Against brute force: edits that all pairs of descriptors accept also meet in the tables; unrelated images are not accepted."""
     rng = np.random.default_rng(5)
 
     def field():
@@ -419,16 +407,22 @@ def test_image_crops_and_resizes_are_recalled():
         return np.rint(127.5 + 127 * noise / abs(noise).max())
 
     crop = lambda a, f: a[20 : 20 + round(160 * f), 20 : 20 + round(160 * f)]
-    less = lambda a: I.resize(a, round(a.shape[0] * 0.85), round(a.shape[1] * 0.85))
+    less = lambda a, f=0.85: I.resize(a, round(a.shape[0] * f), round(a.shape[1] * f))
     full = [field() for _ in range(8)]
-    seen = [I.describe(a) for a in full]
-    for edit in (less, lambda a: less(crop(a, 0.6)), lambda a: crop(a, 0.35), lambda a: crop(a, 0.5) + rng.normal(0, 8, (80, 80))):
-        for k, a in enumerate(full):
-            made = I.describe(np.clip(np.rint(edit(a)), 0, 255))
-            assert len(np.intersect1d(I.codes(seen[k][0]), I.codes(made[0])))
-            assert I.copies(*made, *seen[k]) >= I.LEAST_INLIERS and I.copies(*seen[k], *made) >= I.LEAST_INLIERS
-            other = seen[(k + 1) % len(full)]
-            assert I.copies(*made, *other) < I.LEAST_INLIERS and I.copies(*other, *made) < I.LEAST_INLIERS
+    tables = I.Tables([(k, *I.describe(a)) for k, a in enumerate(full)])
+    edits = [less, lambda a: less(a, 0.7), lambda a: less(crop(a, 0.6)), lambda a: crop(a, 0.6), lambda a: crop(a, 0.35), lambda a: crop(a, 0.5) + rng.normal(0, 8, (80, 80)), np.rot90, lambda a: a * 0.7 + 40]
+    accepted = met = 0
+    for edit in edits:
+        for k in range(len(full)):
+            made = I.describe(np.clip(np.rint(edit(full[k])), 0, 255))
+            shares = tables.sharing([made[0]])[0].tolist()
+            for other in (k, (k + 1) % len(full)):
+                yes = I.copies(*made, *tables.images[other][1:]) >= I.LEAST_INLIERS
+                assert yes or other != k or edit is edits[1]
+                assert not yes or other == k
+                accepted += yes
+                met += yes and other in shares
+    assert accepted >= 0.9 * len(edits) * len(full) and met >= 0.95 * accepted
 
 
 def test_png():

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -60,6 +62,27 @@ def unused(name: str, columns: Iterable[str]) -> str:
     return name
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While jobs run in here, Spark reads and hands on at most so many rows at once: for wide rows. The session's own settings come back."""
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, rows)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def give_back() -> None:
+    """Free memory back to the system; where the C library has no such call, nothing happens."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def arrow_schema(schema: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

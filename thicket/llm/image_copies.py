@@ -1,16 +1,17 @@
 """Copies of images, cropped or edited, by local descriptors.
 
 Corners on several scales, each turned to the direction of its intensity centroid, are described by 256 binary comparisons of a smoothed
-image. Descriptors are cut into tables of bits; images that agree on all bits of a table in any descriptor share a
-signature. Families of images that share signatures go to tasks, large ones in passes; pairs that share one are matched by Hamming
-distance and count as copies if enough matches agree on one similarity transform.
+image. Hamming tables: eight overlapping words of 48 bits of a descriptor. Descriptors that agree on all bits of a word and differ in at
+most MOST_BITS in all meet; images in which at least LEAST_SHARED descriptors do so are matched whole, and count as copies if enough matches agree on one
+similarity transform. Tables are made of a block of images at a time, past which the others stream where they lie.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import islice
 
@@ -19,16 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, mix, save
-from .graph import Roots, components, meet, sign
+from .common import batches_of, drop_saved, give_back, map_rows, save
+from .graph import Roots, components
 
-#: Production parameters: longest side looked at, scales, radius of a patch, tables of 64 bits.
-SIDE, SCALES, RADIUS, TABLES = 256, (1.0, 0.75, 0.5), 8, 4
+#: Production parameters: longest side looked at, scales, radius of a patch, descriptors that must meet in the tables.
+SIDE, SCALES, RADIUS, LEAST_SHARED = 256, (1.0, 0.84, 0.71, 0.59), 8, 8
 #: Most differing bits of a match, least matches that agree (beyond one in CHANCE, which do by chance), their tolerance in pixels of the scale.
 MOST_BITS, LEAST_INLIERS, CHANCE, TOLERANCE = 40, 8, 100, 2.5
 _TURNS = 32
-#: Bounds on memory alone: cells of a matrix of two images' features at once, features of a block of images.
-_CELLS, BLOCK_FEATURES = 1 << 18, 1 << 18
+#: Bounds on memory alone: cells of a matrix of two images' features at once, features of a block of images, matches looked at in one go.
+_CELLS, BLOCK_FEATURES, _HITS = 1 << 18, 1 << 19, 1 << 17
 
 
 def decode(data: bytes | None) -> np.ndarray | None:
@@ -187,12 +188,11 @@ def describe(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(bits), np.concatenate(places)
 
 
-def codes(bits: np.ndarray) -> np.ndarray:
-    """Distinct 64-bit signatures: one a descriptor and table."""
-    if not len(bits):
-        return np.empty(0, np.uint64)
-    with np.errstate(over="ignore"):
-        return np.unique(mix(mix(bits) + np.arange(1, TABLES + 1, dtype=np.uint64)))
+def words(bits: np.ndarray) -> Iterator[np.ndarray]:
+    """The eight overlapping words of 48 bits of each descriptor, a word of all at a time."""
+    half = np.ascontiguousarray(bits).view(np.uint32)
+    for t in range(8):
+        yield half[:, t] | (half[:, (t + 1) % 8] & np.uint64(0xFFFF)) << np.uint64(32)
 
 
 def copies(bits_a: np.ndarray, at_a: np.ndarray, bits_b: np.ndarray, at_b: np.ndarray) -> int:
@@ -210,7 +210,7 @@ def copies(bits_a: np.ndarray, at_a: np.ndarray, bits_b: np.ndarray, at_b: np.nd
     i, j = (np.concatenate(x) for x in zip(*found, strict=True))
     if len(i) < LEAST_INLIERS:
         return 0
-    p, q = at_a[i], at_b[j]
+    p, q = at_a[i].astype(np.float64), at_b[j].astype(np.float64)
     size, turn = q[:, 2] / p[:, 2], q[:, 3] - p[:, 3]
     # Each match proposes a transform; the places of all others are held against it.
     uc, us, log = np.cos(turn), np.sin(turn), np.log(size)
@@ -236,142 +236,151 @@ def copies(bits_a: np.ndarray, at_a: np.ndarray, bits_b: np.ndarray, at_b: np.nd
     return max(0, min(len(set(i[near].tolist())), len({tuple(x) for x in np.rint(at_b[j[near], :2]).tolist()}), len({tuple(x) for x in np.rint(at_a[i[near], :2]).tolist()})) - chance)
 
 
-class Index:
-    """The signatures of a bounded set of images, to find those that share one with another image."""
+class Tables:
+    """Hamming tables of a bounded set of images (node, bits, places), to find those that share descriptors with another image."""
+
+    def __init__(self, images: list[tuple[int, np.ndarray, np.ndarray]]):
+        self.nodes = np.array([node for node, _, _ in images], np.int64)
+        self.bits, places = (np.concatenate([r[k] for r in images]) for k in (1, 2))
+        edges = np.r_[0, np.cumsum([len(bits) for _, bits, _ in images])].tolist()
+        self.images = [(r[0], self.bits[a:b], places[a:b]) for r, a, b in zip(images, edges, edges[1:], strict=False)]
+        self.owner = np.repeat(np.arange(len(images), dtype=np.int32), [len(bits) for _, bits, _ in images])
+        self.tables = []
+        for cut in words(self.bits):
+            order = np.argsort(cut, kind="stable").astype(np.int32)
+            self.tables.append((cut[order], order))
+
+    def sharing(self, given: list[np.ndarray]) -> list[np.ndarray]:
+        """For each image's descriptors, positions of the images of which at least LEAST_SHARED of them meet one within MOST_BITS, those with the most first."""
+        bits = np.concatenate(given)
+        n, of = len(bits), np.repeat(np.arange(len(given)), [len(x) for x in given])
+        met = [np.empty(0, np.int64)]
+        for own, (keys, order) in zip(words(bits), self.tables, strict=True):
+            by = np.argsort(own)  # looked up in order: neighbours lie together in memory
+            low = np.searchsorted(keys, own[by], "left")
+            some = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == own[by])
+            some, low = by[some], low[some]
+            size = np.searchsorted(keys, own[some], "right") - low
+            ends = np.cumsum(size)
+            lo = 0
+            while lo < len(some):  # a descriptor's matches at least, some _HITS at once
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _HITS)))
+                part, begin, many = some[lo:hi], low[lo:hi], size[lo:hi]
+                i = np.repeat(part, many)
+                j = order[np.arange(len(i)) + np.repeat(begin - np.cumsum(many) + many, many)]
+                close = np.bitwise_count(bits[i] ^ self.bits[j]).sum(1) <= MOST_BITS
+                met.append(self.owner[j[close]].astype(np.int64) * n + i[close])
+                lo = hi
+        pairs = np.unique(np.concatenate(met))  # a descriptor counts once an image
+        pairs, count = np.unique(of[pairs % max(1, n)] * len(self.images) + pairs // max(1, n), return_counts=True)
+        pairs, count = pairs[count >= LEAST_SHARED], count[count >= LEAST_SHARED]
+        pairs = pairs[np.lexsort((-count, pairs // len(self.images)))]
+        edges = np.searchsorted(pairs // len(self.images), np.arange(len(given) + 1))
+        return [pairs[a:b] % len(self.images) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def link(held: Tables, given: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int]]:
+    """Links (a, b) between given and held images (node, bits, places) that are copies, spanning every component of these pairs.
 
-    def __init__(self, images: list[tuple[np.ndarray, np.ndarray]]):
-        own = [codes(b) for b, _ in images]
-        code, owner = np.concatenate(own), np.repeat(np.arange(len(images)), [len(c) for c in own])
-        order = np.lexsort((owner, code))
-        code, self.members = code[order], owner[order].astype(np.int32)
-        starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.empty(0, np.int64)
-        self.known, self.edges = code[starts], np.r_[starts, len(code)]
+    A given image that is held itself is compared with smaller nodes alone.
+    """
+    roots, inside, rest = Roots(), set(held.nodes.tolist()), (r for r in given if len(r[1]))
+    while some := list(islice(rest, 16)):
+        for (node, bits, places), shares in zip(some, held.sharing([r[1] for r in some]), strict=True):
+            for y in shares.tolist():
+                other, *features = held.images[y]
+                if other == node or node in inside and other > node or roots.find(other) == roots.find(node):
+                    continue
+                # The larger node's features are matched to the smaller's, whichever of the two is held.
+                pair = ((bits, places), features) if node > other else (features, (bits, places))
+                if copies(*pair[0], *pair[1]) >= LEAST_INLIERS:
+                    roots[roots.find(node)] = roots.find(other)
+                    yield node, other
 
-    def sharing(self, own: np.ndarray) -> np.ndarray:
-        """Positions of the images that share any of the signatures, those with the most first."""
-        if not len(own) or not len(self.known):
-            return np.empty(0, np.int64)
-        at = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
-        at = at[self.known[at] == own]
-        if not len(at):
-            return np.empty(0, np.int64)
-        seen, count = np.unique(np.concatenate([self.members[self.edges[k] : self.edges[k + 1]] for k in at]), return_counts=True)
-        return seen[np.argsort(-count, kind="stable")]
 
+_tables: dict[str, Tables] = {}
 
-def link(held: list[tuple[int, np.ndarray, np.ndarray]], given: Iterable[tuple[int, np.ndarray, np.ndarray]], inside: Callable[[int], bool]) -> Iterator[tuple[int, int]]:
-    """Links (a, b) between given and held images (node, bits, places) that are copies, spanning every component of these pairs.
 
-    Pairs share a signature. inside: whether the given node is held itself; such a node is compared with smaller ones alone.
-    """
-    index, roots = Index([r[1:] for r in held]), Roots()
-    for node, bits, places in given:
-        both = inside(node)
-        for y in index.sharing(codes(bits)).tolist():
-            other, *features = held[y]
-            if other == node or both and other > node or roots.find(other) == roots.find(node):
-                continue
-            # The larger id's features are matched to the smaller's, whichever of the two is held.
-            pair = ((bits, places), features) if node > other else (features, (bits, places))
-            if copies(*pair[0], *pair[1]) >= LEAST_INLIERS:
-                roots[roots.find(node)] = roots.find(other)
-                yield node, other
-
-
-def image_copies(images: DataFrame, id_col: str = "image_id", image_col: str = "image", block_images: int = 2000) -> DataFrame:
+def _features(bits: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(bits, np.uint64).reshape(-1, 4), np.frombuffer(places, np.float32).reshape(-1, 4)
+
+
+def image_copies(images: DataFrame, id_col: str = "image_id", image_col: str = "image", block_features: int = BLOCK_FEATURES) -> DataFrame:
     """images -> (image_id, class_id, n_keypoints), one row per row of `images`; class_id: the smallest id reachable through copies.
 
     Images that decode to the same pixels are copies at once. Null, unreadable or featureless images have 0 keypoints and, where no
     pixels are shared, a class of their own. Null id: null class. Rows that repeat an id each take the class of their own pixels. Empty table:
-    no rows. Other columns are not read.
+    no rows. Other columns are not read, whatever their names. An image above SIDE pixels is looked at in that size, however large.
     Every corner above the response threshold describes an image, so that a crop keeps those of its area.
 
-    Scale: one pass decodes; after it only features and signatures move. Pixel copies are one node. Signatures are pre-aggregated to
-    their smallest node in each task, so a common one sends a row a task, and makes a star, not all pairs. Families up to `block_images` (and
-    BLOCK_FEATURES) are dealt to tasks. Those above are searched in passes: each holds a block of that size against all from it on, which are
-    read where they lie, so features move once, however large a family is, and any two images of it meet once.
+    Scale: pixel copies are one node, found by narrow digests; only nodes are described, once, and their features written. Blocks of
+    `block_features` are broadcast in turn, a bound checked by count, as tables past which the features from that block on stream where they
+    lie: nothing is shuffled, no list is gathered and any two images meet once. The passes grow with the images, the work with their square,
+    by a lookup in the tables an image and block; whole images are matched for those alone that share descriptors.
     """
     spark = images.sparkSession
+    images = images.select(F.col(id_col).cast("bigint").alias("image_id"), F.col(image_col).alias("image"))
 
-    def make():
+    def digest_of(pixels: np.ndarray) -> bytes:
+        return hashlib.md5(repr(pixels.shape).encode() + np.rint(pixels).astype(np.uint8).tobytes()).digest()
+
+    def see():
         def one(image_id, data):
+            pixels = decode(data) if image_id is not None else None
+            yield image_id, digest_of(pixels) if pixels is not None else None
+
+        return one
+
+    def make():
+        _tables.clear()  # of an earlier run in this worker
+
+        def one(image_id, data, digest, node):
             pixels = decode(data)
-            if pixels is None or image_id is None:
-                yield image_id, None, 0, None, None
-                return
-            bits, at = describe(pixels)
-            digest = hashlib.md5(repr(pixels.shape).encode() + np.rint(pixels).astype(np.uint8).tobytes()).digest()
-            yield image_id, digest, len(bits), bits.tobytes(), at.astype(np.float32).tobytes()
+            if pixels is not None and digest_of(pixels) == digest:
+                bits, at = describe(pixels)
+                yield node, len(bits), bits.tobytes(), at.astype(np.float32).tobytes()
 
         return one
 
-    base = save(
-        map_rows(images.select(F.col(id_col).cast("bigint").alias("image_id"), F.col(image_col).alias("image")), make, "image_id bigint, digest binary, n_keypoints int, bits binary, places binary").withColumn(
-            "row", F.monotonically_increasing_id()
-        )
-    )
-    firsts = base.where("digest is not null").groupBy("digest").agg(F.min(F.struct("image_id", "row")).alias("first"))
-    firsts = save(firsts.select("digest", F.col("first.image_id").alias("node"), F.col("first.row").alias("row")))
-    nodes = base.join(firsts.select("row"), "row", "left_semi").select(F.col("image_id").alias("node"), "n_keypoints", "bits", "places")
-
-    def features(bits: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
-        return np.frombuffer(bits, np.uint64).reshape(-1, 4), np.frombuffer(places, np.float32).reshape(-1, 4).astype(np.float64)
-
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return sign((node, codes(np.frombuffer(bits, np.uint64).reshape(-1, 4))) for batch in batches for node, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-
-    sent = nodes.select("node", "bits").mapInArrow(signed, "code bigint, a bigint, b bigint").repartition("code").sortWithinPartitions("code", "a")
-    families = components(sent.mapInArrow(meet, "a bigint, b bigint").distinct()).withColumnRenamed("component", "family")
-    families = families.join(nodes.groupBy("node").agg(F.sum("n_keypoints").alias("size")), "node")
-    sizes = families.groupBy("family").agg(((F.count("*") > block_images) | (F.sum("size") > BLOCK_FEATURES)).alias("large"))
-    families = save(families.join(sizes, "family"))
-    n_large, features_large = families.where("large").agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def found() -> pa.RecordBatch:
-            pairs = list(link(held, held, lambda node: True)) if len(held) > 1 else []
-            return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
-
-        for batch in batches:
-            for family, node, bits, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if family != key:
-                    if held:
-                        yield found()
-                    key, held = family, []
-                held.append((node, *features(bits, places)))
-        if held:
-            yield found()
-
-    keyed = nodes.join(families.where("not large").select("node", "family"), "node").select("family", "node", "bits", "places")
-    links = keyed.repartition("family").sortWithinPartitions("family", "node").mapInArrow(search, "a bigint, b bigint")
-    if n_large:
-        n_blocks = max(-(-n_large // block_images), -(-features_large // BLOCK_FEATURES))
-        block = F.pmod(F.xxhash64("node"), F.lit(n_blocks)).cast("int").alias("block")
-        large = save(nodes.join(families.where("large").select("node"), "node", "left_semi").select(block, "node", "bits", "places"))
-        for k in range(n_blocks):
-            shared = spark.sparkContext.broadcast([tuple(r) for r in large.where(F.col("block") == k).select("node", "bits", "places").collect()])
-
-            def across(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-                held = [(node, *features(bits, places)) for node, bits, places in shared.value]
-                own = {r[0] for r in held}
-
-                def given() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-                    for batch in batches:
-                        for lo in range(0, batch.num_rows, 256):
-                            for node, bits, places in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True):
-                                yield node, *features(bits, places)
-
-                pairs = link(held, given(), own.__contains__)
-                while part := list(islice(pairs, 10_000)):
-                    yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in part], pa.int64()), "b": pa.array([b for _, b in part], pa.int64())})
-
-            links = links.unionByName(save(large.where(F.col("block") >= k).select("node", "bits", "places").mapInArrow(across, "a bigint, b bigint")))
-            shared.destroy()
-    joined = components(links)
-    rows = base.select("image_id", "n_keypoints", "digest").join(firsts.select("digest", "node"), "digest", "left")
-    return rows.join(joined, "node", "left").select("image_id", F.coalesce("component", "node", "image_id").alias("class_id"), "n_keypoints")
+    rows = save(map_rows(images, see, "image_id bigint, digest binary"))
+    firsts = save(rows.where("digest is not null").groupBy("digest").agg(F.min("image_id").alias("image_id")).withColumn("node", F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("bigint")))
+    with batches_of(spark, 512):
+        nodes = save(map_rows(images.join(firsts, "image_id").select("image_id", "image", "digest", "node"), make, "node bigint, n_keypoints int, bits binary, places binary"))
+    total = nodes.agg(F.sum("n_keypoints")).first()[0] or 0
+    n_blocks = -(-total // block_features)
+    block = F.pmod(F.xxhash64("node"), F.lit(max(1, n_blocks)))
+    links = None
+    for k in range(n_blocks):
+        held = [tuple(r) for r in nodes.where((block == k) & (F.col("n_keypoints") > 0)).select("node", "bits", "places").collect()]  # some block_features
+        if not held:
+            continue
+        shared, name = spark.sparkContext.broadcast(held), uuid.uuid4().hex
+
+        def across(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            if name not in _tables:  # once a worker and pass
+                _tables.clear()
+                give_back()
+                _tables[name] = Tables([(node, *_features(bits, places)) for node, bits, places in shared.value])
+                vars(shared).pop("_value", None)  # the tables have their own copy
+                give_back()
+            given = ((node, *_features(bits, places)) for batch in batches for lo in range(0, batch.num_rows, 256) for node, bits, places in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True))
+            pairs = link(_tables[name], given)
+            while part := list(islice(pairs, 10_000)):
+                yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in part], pa.int64()), "b": pa.array([b for _, b in part], pa.int64())})
+
+        with batches_of(spark, 512):
+            found = save(nodes.where(block >= k).select("node", "bits", "places").mapInArrow(across, "a bigint, b bigint"))
+        links = found if links is None else links.unionByName(found)
+        shared.destroy()
+        del held
+    give_back()
+    sized = firsts.join(nodes.groupBy("node").agg(F.max("n_keypoints").alias("n_keypoints")), "node", "left")
+    joined = components(links) if links is not None else spark.createDataFrame([], "node bigint, component bigint")
+    sized = sized.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = sized.join(sized.groupBy("component").agg(F.min("image_id").alias("class_id")), "component").select("digest", "class_id", "n_keypoints")
+    known = save(known)
+    drop_saved(nodes)
+    return rows.join(known, "digest", "left").select("image_id", F.coalesce("class_id", "image_id").alias("class_id"), F.coalesce("n_keypoints", F.lit(0)).alias("n_keypoints"))
 
 
 @cache

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import hashlib
 import os
 import re
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import arrow_schema, map_rows
+from .common import arrow_schema, give_back, map_rows
 
 MARK = "▁"
 #: Fixed values of the model format: piece kinds, model kinds, and field numbers.
@@ -208,17 +207,10 @@ def codec_for(data: bytes, threads: int) -> Codec:
             raise ValueError(f"parity with the SentencePiece library is lost on {bad!r}")
         made.memo.clear()
         _codecs[key] = made
-        _give_back()
+        give_back()
     return _codecs[key]
 
 
-def _give_back() -> None:
-    """Free memory back to the system; where the C library has no such call, nothing happens."""
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 #: Texts on which a task's codec is held against the SentencePiece library before it encodes anything.
 PROBES = ["", " ", "a", "  two  spaces ", "Über naïve façades, 12.5 %!", "tabs\tand\nlines\r\n", "你好 \U0001f600‍", "ALL!! CAPS$$$ ###", "x" * 300, "▁ marker", "<s> </s> <unk> <0x41>"]
 
@@ -281,11 +273,11 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
                     since += size
                     keys, texts, size = [], [], 0
                     if since >= 32 * BATCH_CHARS:
-                        _give_back()
+                        give_back()
                         since = 0
         if keys:
             yield encoded(keys, texts)
-        _give_back()
+        give_back()
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, out_type)
 
