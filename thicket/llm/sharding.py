@@ -28,7 +28,7 @@ def _directory(rows: DataFrame, limit: int, total: int, label: str) -> tuple[Dat
         prefixes = cells.select("cell", "b", "r", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")).withColumn("prefix", F.expr(f"shiftright(cell, {high} - depth)"))
         sums = prefixes.groupBy("prefix").agg(F.sum("b").alias("shard_bytes"), F.sum("r").alias("shard_rows"))
         fits = sums.where((F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1))
-        found = prefixes.select("cell", "depth", "prefix").join(fits, "prefix").groupBy("cell").agg(F.min_by(F.struct("prefix", "depth", "shard_bytes", "shard_rows"), "depth").alias("s"))
+        found = prefixes.select("cell", "depth", "prefix").join(fits.hint("merge"), "prefix").groupBy("cell").agg(F.min_by(F.struct("prefix", "depth", "shard_bytes", "shard_rows"), "depth").alias("s"))
         at = inside.withColumn("cell", deep)
         # By merge at every size: the cells grow with the input, and rows are narrow.
         placed.append(at.join(found.hint("merge"), "cell").select(*rows.columns, F.col("s.depth").cast("int").alias("depth"), F.concat(F.lit(label), F.substring(F.conv(F.col("s.prefix").cast("string"), 10, 2), 2, BITS + 1)).alias("shard"), "s.shard_bytes", "s.shard_rows"))
@@ -36,7 +36,7 @@ def _directory(rows: DataFrame, limit: int, total: int, label: str) -> tuple[Dat
         if large.isEmpty():
             rest = None
             break
-        rest = at.join(large, "cell", "left_semi").select(*rows.columns)
+        rest = at.join(large.hint("merge"), "cell", "left_semi").select(*rows.columns)
         if high == BITS:
             break
         inside, low, high = rest, high, min(BITS, high + 12)
