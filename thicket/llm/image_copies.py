@@ -269,7 +269,7 @@ class Tables:
                 i = np.repeat(part, many)
                 j = order[np.arange(len(i)) + np.repeat(begin - np.cumsum(many) + many, many)]
                 close = np.bitwise_count(bits[i] ^ self.bits[j]).sum(1) <= MOST_BITS
-                met.append(self.owner[j[close]].astype(np.int64) * n + i[close])
+                met.append(np.unique(self.owner[j[close]].astype(np.int64) * n + i[close]))
                 lo = hi
         pairs = np.unique(np.concatenate(met))  # a descriptor counts once an image
         pairs, count = np.unique(of[pairs % max(1, n)] * len(self.images) + pairs // max(1, n), return_counts=True)
@@ -285,7 +285,7 @@ def link(held: Tables, given: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> I
     A given image that is held itself is compared with smaller nodes alone.
     """
     roots, inside, rest = Roots(), set(held.nodes.tolist()), (r for r in given if len(r[1]))
-    while some := list(islice(rest, 16)):
+    while some := list(islice(rest, 4)):
         for (node, bits, places), shares in zip(some, held.sharing([r[1] for r in some]), strict=True):
             for y in shares.tolist():
                 other, *features = held.images[y]
