@@ -28,8 +28,9 @@ SIDE, SCALES, RADIUS, LEAST_SHARED = 256, (1.0, 0.84, 0.71, 0.59), 8, 8
 #: Most differing bits of a match, least matches that agree (beyond one in CHANCE, which do by chance), their tolerance in pixels of the scale.
 MOST_BITS, LEAST_INLIERS, CHANCE, TOLERANCE = 40, 8, 100, 2.5
 _TURNS = 32
-#: Bounds on memory alone: cells of a matrix of two images' features at once, features of a block of images, matches looked at in one go.
-_CELLS, BLOCK_FEATURES, _HITS = 1 << 18, 1 << 19, 1 << 17
+#: Bounds on memory alone: cells of a matrix of two images' features at once, features of a block of images, matches looked at in one go,
+#: features looked up together. Bits of the hash by which words that no table holds are told.
+_CELLS, BLOCK_FEATURES, _HITS, _GROUP, _SLOTS = 1 << 18, 1 << 19, 1 << 17, 1 << 13, 23
 
 
 def decode(data: bytes | None) -> np.ndarray | None:
@@ -245,38 +246,88 @@ class Tables:
         edges = np.r_[0, np.cumsum([len(bits) for _, bits, _ in images])].tolist()
         self.images = [(r[0], self.bits[a:b], places[a:b]) for r, a, b in zip(images, edges, edges[1:], strict=False)]
         self.owner = np.repeat(np.arange(len(images), dtype=np.int32), [len(bits) for _, bits, _ in images])
+        self.order = np.empty((8, len(self.bits)), np.int32)
         self.tables = []
-        for cut in words(self.bits):
-            order = np.argsort(cut, kind="stable").astype(np.int32)
-            self.tables.append((cut[order], order))
+        for cut, order in zip(words(self.bits), self.order, strict=True):
+            order[:] = np.argsort(cut, kind="stable")
+            cut = cut[order]
+            starts = np.flatnonzero(np.r_[True, cut[1:] != cut[:-1]]).astype(np.int32)
+            filled = np.zeros(1 << _SLOTS, bool)
+            filled[self._slots(cut)] = True
+            self.tables.append((cut[starts], np.r_[starts, np.int32(len(cut))], np.packbits(filled, bitorder="little")))
+
+    @staticmethod
+    def _slots(cut: np.ndarray) -> np.ndarray:
+        return (cut * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOTS)).view(np.int64)
+
+    def _met(self, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where descriptors agree on a word with some that are held: the descriptors, in order, the first such place in `order`, laid flat, and how many."""
+        met = []
+        for t, (own, (keys, starts, filled)) in enumerate(zip(words(bits), self.tables, strict=True)):
+            slot = self._slots(own)
+            some = np.flatnonzero(filled[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)  # most other words are held nowhere
+            some = some[np.argsort(own[some])]  # looked up in order: neighbours lie together in memory
+            at = np.minimum(np.searchsorted(keys, own[some]), len(keys) - 1)
+            held = keys[at] == own[some]
+            some, at = some[held], at[held]
+            met.append((some, starts[at] + np.int64(t * len(self.bits)), starts[at + 1] - starts[at]))
+        of, low, size = (np.concatenate(x) for x in zip(*met, strict=True))
+        by = np.argsort(of, kind="stable")
+        return of[by], low[by], size[by].astype(np.int64)
 
     def sharing(self, given: list[np.ndarray]) -> list[np.ndarray]:
         """For each image's descriptors, positions of the images of which at least LEAST_SHARED of them meet one within MOST_BITS, those with the most first."""
-        bits = np.concatenate(given)
-        n, of = len(bits), np.repeat(np.arange(len(given)), [len(x) for x in given])
-        met = [np.empty(0, np.int64)]
-        for own, (keys, order) in zip(words(bits), self.tables, strict=True):
-            by = np.argsort(own)  # looked up in order: neighbours lie together in memory
-            low = np.searchsorted(keys, own[by], "left")
-            some = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == own[by])
-            some, low = by[some], low[some]
-            size = np.searchsorted(keys, own[some], "right") - low
-            ends = np.cumsum(size)
-            lo = 0
-            while lo < len(some):  # a descriptor's matches at least, some _HITS at once
-                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _HITS)))
-                part, begin, many = some[lo:hi], low[lo:hi], size[lo:hi]
-                i = np.repeat(part, many)
-                j = order[np.arange(len(i)) + np.repeat(begin - np.cumsum(many) + many, many)]
-                close = np.bitwise_count(bits[i] ^ self.bits[j]).sum(1) <= MOST_BITS
-                met.append(np.unique(self.owner[j[close]].astype(np.int64) * n + i[close]))
-                lo = hi
-        pairs = np.unique(np.concatenate(met))  # a descriptor counts once an image
-        pairs, count = np.unique(of[pairs % max(1, n)] * len(self.images) + pairs // max(1, n), return_counts=True)
+        bits, many = np.concatenate(given), len(self.images)
+        image = np.repeat(np.arange(len(given)), [len(x) for x in given])
+        of, low, size = self._met(bits)
+        ends = np.cumsum(size)
+
+        def near(lo: int, hi: int) -> np.ndarray:
+            """Distinct (descriptor, held image) in one number."""
+            i, n = np.repeat(of[lo:hi], size[lo:hi]), size[lo:hi]
+            j = self.order.reshape(-1)[np.arange(len(i)) + np.repeat(low[lo:hi] - np.cumsum(n) + n, n)]
+            apart = np.bitwise_count(bits[i] ^ self.bits[j])
+            close = apart[:, 0] + apart[:, 1] + apart[:, 2] + apart[:, 3] <= MOST_BITS  # 208 at most, as a word agrees
+            return _distinct(i[close] * many + self.owner[j[close]])
+
+        pairs, counts, lo = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
+        while lo < len(of):  # a descriptor's matches at least, some _HITS at once
+            hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _HITS, "right"))
+            hi = int(np.searchsorted(of, of[hi])) if hi < len(of) else hi
+            if hi > lo:
+                found = near(lo, hi)
+            else:  # one descriptor that has more, a word at a time
+                hi = int(np.searchsorted(of, of[lo], "right"))
+                found = _distinct(np.concatenate([near(k, k + 1) for k in range(lo, hi)]))
+            found, count = np.unique(image[found // many] * many + found % many, return_counts=True)
+            pairs.append(found)
+            counts.append(count)
+            lo = hi
+        pairs, where = np.unique(np.concatenate(pairs), return_inverse=True)
+        count = np.bincount(where, np.concatenate(counts), len(pairs))
         pairs, count = pairs[count >= LEAST_SHARED], count[count >= LEAST_SHARED]
-        pairs = pairs[np.lexsort((-count, pairs // len(self.images)))]
-        edges = np.searchsorted(pairs // len(self.images), np.arange(len(given) + 1))
-        return [pairs[a:b] % len(self.images) for a, b in zip(edges, edges[1:], strict=False)]
+        pairs = pairs[np.lexsort((-count, pairs // many))]
+        edges = np.searchsorted(pairs // many, np.arange(len(given) + 1))
+        return [pairs[a:b] % many for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
+def _groups(images: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
+    """Images that have descriptors, some _GROUP descriptors together."""
+    held, n = [], 0
+    for r in images:
+        if len(r[1]):
+            held.append(r)
+            n += len(r[1])
+        if n >= _GROUP:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 def link(held: Tables, given: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int]]:
@@ -284,8 +335,8 @@ def link(held: Tables, given: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> I
 
     A given image that is held itself is compared with smaller nodes alone.
     """
-    roots, inside, rest = Roots(), set(held.nodes.tolist()), (r for r in given if len(r[1]))
-    while some := list(islice(rest, 4)):
+    roots, inside = Roots(), set(held.nodes.tolist())
+    for some in _groups(given):
         for (node, bits, places), shares in zip(some, held.sharing([r[1] for r in some]), strict=True):
             for y in shares.tolist():
                 other, *features = held.images[y]
